@@ -567,7 +567,7 @@ def q_stream_ingest(spark, sf):
 
     ingest_pages(spark, f"{landing}/*", docs.schema, store, to_docs, scratch_path(spark, "stream-ckpt"),
                  max_files_per_trigger=2)
-    return store.read().select("doc_key", F.length(F.coalesce("content", F.lit(""))).alias("n_chars"))
+    return store.read().select("doc_key", F.length(F.coalesce("content", F.lit(""))).cast("long").alias("n_chars"))
 
 
 def _count_words(pdf):
