@@ -5,6 +5,8 @@ output shape can replace it (see ``operators.models``)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,13 +21,17 @@ def _lit_array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def lexicon_hits(text, lexicon) -> Column:
+    """Number of words of ``text`` that are in ``lexicon``: one regex pass over the
+    lower-cased text, a hit being a whole [a-z]+ run (lookarounds, JVM regex)."""
+    alts = "|".join(re.escape(w) for w in sorted(lexicon, key=len, reverse=True))
+    return F.size(F.regexp_extract_all(F.lower(_c(text)), F.lit(f"(?<![a-z])(?:{alts})(?![a-z])"), 0))
+
+
 def lexicon_share(text, lexicon) -> Column:
     """hits / words; 0 for a text without words."""
-    ws = words(text)
-    lex = _lit_array(lexicon)
-    hits = F.size(F.filter(ws, lambda w: F.array_contains(lex, w)))
-    n = F.size(ws)
-    return F.when(n > 0, hits / n).otherwise(F.lit(0.0))
+    n = F.size(words(text))
+    return F.when(n > 0, lexicon_hits(text, lexicon) / n).otherwise(F.lit(0.0))
 
 
 def topic_score(text, lexicon=TOPIC_LEXICON, cut: float = TOPIC_CUT) -> Column:
@@ -38,10 +44,8 @@ def topic_score(text, lexicon=TOPIC_LEXICON, cut: float = TOPIC_CUT) -> Column:
 
 def claim_score(sentence, lexicon=CLAIM_LEXICON) -> Column:
     """U2 stand-in: class 1 when any lexicon word is present else 0; score = share."""
-    ws = words(sentence)
-    lex = _lit_array(lexicon)
-    hits = F.size(F.filter(ws, lambda w: F.array_contains(lex, w)))
-    n = F.size(ws)
+    hits = lexicon_hits(sentence, lexicon)
+    n = F.size(words(sentence))
     share = F.when(n > 0, hits / n).otherwise(F.lit(0.0))
     return F.struct(F.when(hits > 0, F.lit(1)).otherwise(F.lit(0)).alias("label"),
                     F.round(share, 6).alias("score"))

@@ -9,7 +9,9 @@ claim sources, ``embeddings`` for a vector store.  Every rule here has a mirror
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from veriscope.constants import DOI_PREFIX, HASH_DIM, WORK_ID_PREFIX
@@ -18,8 +20,19 @@ from veriscope.functions.vectors import hash_embedding
 from veriscope.sources.store import dedupe_documents
 
 
+def spread(df: DataFrame, factor: int = 4) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    Large inputs arrive in many splits and are left alone (no shuffle); a small
+    file with a single row group would otherwise run every text operator in one
+    task."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism \
+        else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def author_lists(conversations: DataFrame) -> DataFrame:
@@ -55,16 +68,29 @@ def works_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce(F.col("authors"), F.lit("")).alias("authors")))
 
 
+def _invert_udf():
+    @F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))
+    def invert(tokens: pd.Series) -> pd.Series:
+        out = []
+        for ws in tokens:
+            if ws is None:
+                out.append(None)
+                continue
+            m: dict[str, list[int]] = {}
+            for i, w in enumerate(ws):
+                m.setdefault(w, []).append(i)
+            out.append(m)
+        return pd.Series(out)
+    return invert
+
+
 def invert_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Inverted index word -> ascending positions of the whitespace tokens of a text.
 
-    One exchange: rows are hash-partitioned by document id, after which both
-    aggregations (per (doc, word), then per doc) run without another shuffle."""
-    toks = (docs.repartition(id_col)
-            .select(id_col, F.posexplode(F.split(collapse_ws(F.col(text_col)), " ")).alias("pos", "word")))
-    per_word = toks.groupBy(id_col, "word").agg(F.sort_array(F.collect_list(F.col("pos").cast("int"))).alias("p"))
-    return per_word.groupBy(id_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "p"))).alias("abstract_inverted_index"))
+    Row-local (no shuffle): the JVM splits the text, an Arrow-batched helper
+    builds each row's map."""
+    toks = F.split(collapse_ws(F.col(text_col)), " ")
+    return docs.select(id_col, _invert_udf()(toks).alias("abstract_inverted_index"))
 
 
 def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
