@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veriscope.constants import CLAIM_THRESHOLD_CORPUS
 from veriscope.functions.scoring import claim_score
 from veriscope.functions.text import sentences
-from veriscope.operators.filters import claim_predicate
+from veriscope.operators.filters import claim_predicate, score_once
 
 
 def split_sentences(df: DataFrame, text_col: str, keep: list[str], pos: str = "pos",
@@ -19,7 +19,7 @@ def split_sentences(df: DataFrame, text_col: str, keep: list[str], pos: str = "p
 
 def score_sentences(df: DataFrame, col: str = "sentence", scorer=None) -> DataFrame:
     scorer = scorer or claim_score
-    return df.withColumn("_s", scorer(F.col(col))).select(
+    return score_once(df, scorer(F.col(col)), "_s").select(
         "*", F.col("_s.label").alias("label"), F.col("_s.score").alias("score")).drop("_s")
 
 

@@ -98,18 +98,27 @@ def fill_missing(df: DataFrame) -> DataFrame:
     return df.fillna("", subset=strings) if strings else df
 
 
-def to_documents(df: DataFrame, content: str = "abstract") -> DataFrame:
-    """P10: work rows -> documents (content + meta struct)."""
+def to_documents(df: DataFrame, content: str = "abstract", keep: list[str] | None = None) -> DataFrame:
+    """P10: work rows -> documents (content + meta struct); ``keep`` carries extra columns."""
     meta = F.struct(F.col("title"), F.col("publication_year").cast("int").alias("publication_year"),
                     F.col("authors"), F.col("doi"), F.col("id").alias("open_alex_id"))
-    return df.select(F.col(content).alias("content"), meta.alias("meta"))
+    return df.select(*(keep or []), F.col(content).alias("content"), meta.alias("meta"))
+
+
+def score_once(df: DataFrame, score, out: str) -> DataFrame:
+    """Attach ``score`` as column ``out``, evaluated once per row.
+
+    A filter on a plain projected column is pushed below the projection with the
+    expression inlined, so a costly scorer would run in both.  A one-row generator
+    keeps the later filter above it."""
+    return df.select("*", F.inline(F.array(F.struct(score.alias(out)))))
 
 
 def topic_gate(df: DataFrame, text_col: str, scorer=None, gate: bool = True,
                out: str = "topic") -> DataFrame:
     """Attach a topic label and keep rows labelled positive (when ``gate``)."""
     scorer = scorer or topic_score
-    scored = df.withColumn(out, scorer(F.col(text_col)))
+    scored = score_once(df, scorer(F.col(text_col)), out)
     return scored.filter(F.col(f"{out}.label") == TOPIC_POSITIVE) if gate else scored
 
 

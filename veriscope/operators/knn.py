@@ -215,18 +215,20 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
              qid: str = "claim_id", did: str = "doc_id", qvec: str = "embedding",
              dvec: str = "embedding", probes: str | None = None, cell: str | None = None,
              method: str = "auto", broadcast_budget_bytes: int = 256 << 20,
-             max_store_rows: int = 200_000) -> DataFrame:
+             max_store_rows: int = 200_000, dim: int | None = None) -> DataFrame:
     """Exact (or IVF when ``probes``/``cell`` are given) top-k store rows per query.
 
-    Returns ``(qid, did, score, rank)`` with the caller's column names.
+    The query side is broadcast only when its estimated size (rows x dim) fits the
+    budget; otherwise the blocked plan is used.  Returns ``(qid, did, score, rank)``
+    with the caller's column names.
     """
     if metric not in ("cosine", "dot_product"):
         raise ValueError(f"unknown similarity {metric!r}")
     if probes and not cell:
         raise ValueError("probes need the store's cell column")
     n_q = queries.count()
-    first = queries.select(F.size(qvec).alias("d")).filter(F.col("d").isNotNull()).limit(1).collect()
-    dim = first[0]["d"] if first else 0
+    if dim is None:
+        dim = queries.agg(F.max(F.size(qvec))).first()[0] or 0
     est = n_q * (dim * 8 + 64)
     if method == "auto":
         method = "broadcast" if est <= broadcast_budget_bytes else "blocked"
@@ -262,7 +264,7 @@ def _unit(col: str):
 
 
 def train_ivf(store: DataFrame, nlist: int, vec: str = "embedding", metric: str = "cosine",
-              seed: int = 7, max_iter: int = 20) -> np.ndarray:
+              seed: int = 7, max_iter: int = 10) -> np.ndarray:
     """Cluster centres for an IVF index (pyspark.ml KMeans; nlist x dim, bounded by nlist)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
@@ -294,6 +296,16 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding", m
     return df.withColumn(name, _nearest_cells_udf(centroids, 1, metric)(F.col(vec))[0])
 
 
+def write_ivf_store(store: DataFrame, centroids: np.ndarray, path: str, vec: str = "embedding",
+                    metric: str = "cosine", mode: str = "overwrite") -> None:
+    """File every store row under its nearest cell, ``partitionBy("cell")``.
+
+    The ``rebalance`` hint lets AQE split a hot cell over several writers and merge
+    small ones, instead of one file per (task, cell)."""
+    (assign_cells(store, centroids, vec, metric).hint("rebalance", "cell")
+     .write.mode(mode).partitionBy("cell").parquet(path))
+
+
 def probe_cells(df: DataFrame, centroids: np.ndarray, nprobe: int, vec: str = "embedding",
                 metric: str = "cosine", name: str = "cells") -> DataFrame:
     """The ``nprobe`` nearest cells per query."""

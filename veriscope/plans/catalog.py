@@ -35,6 +35,7 @@ from veriscope.plans.views import (
     embedded_store, invert_text, load, papers_view, raw_works, store_documents, works_view,
 )
 from veriscope.session import scratch_path
+from veriscope.sources.scan import spread
 from veriscope.sources.store import EvidenceStore, dedupe_documents, embed_missing
 from veriscope.sources.works import (
     corpus_profile, flatten_works, preview, read_works_csv, read_works_pages, skip_done, write_works_csv,
@@ -358,6 +359,24 @@ def q_embedding_count(spark, sf):
     return s.agg(F.count(F.lit(1)).alias("n_docs"), F.count("embedding").alias("n_embeddings"))
 
 
+@query("index_abstracts", f"""
+SELECT sha256(coalesce(text, '')) AS doc_key, min(doc_id) AS doc_id, arg_min(source, doc_id) AS title
+FROM documents WHERE {S.topic_yes('text')} GROUP BY 1""")
+def q_index_abstracts(spark, sf):
+    store = EvidenceStore(spark, scratch_path(spark, "abstracts"), recreate=True)
+    jobs.index_abstracts(works_view(spark, sf), store, gate=True, keep=["doc_id"])
+    return store.read().select("doc_key", "doc_id", F.col("meta.title").alias("title"))
+
+
+@query("index_claims", f"""
+WITH {_CLAIMS_CTE}
+SELECT DISTINCT sha256(sentence) AS doc_key, sentence AS content FROM cl WHERE {S.topic_yes('sentence')}""")
+def q_index_claims(spark, sf):
+    store = EvidenceStore(spark, scratch_path(spark, "claims"), recreate=True)
+    jobs.index_claims(works_view(spark, sf).select(*WORK_COLS), store, CLAIM_THRESHOLD_SYNTHETIC, gate=True)
+    return store.read().select("doc_key", "content")
+
+
 # ----------------------------------------------------------------------------- k-NN on vectors
 
 def _topk_sql(metric: str) -> str:
@@ -401,8 +420,8 @@ def _ivf(spark, sf, nprobe: int):
     q, s = _vectors(spark, sf)
     centroids = knn.train_ivf(s, IVF_CELLS)
     path = scratch_path(spark, "ivf-store")
-    knn.assign_cells(s, centroids).write.mode("overwrite").partitionBy("cell").parquet(path)
-    store = spark.read.parquet(path)
+    knn.write_ivf_store(s, centroids, path)
+    store = spread(spark.read.parquet(path))
     probes = knn.probe_cells(q, centroids, nprobe)
     return knn.knn_topk(probes, store, TOP_K, "cosine", qid="query_id", did="vec_id",
                         probes="cells", cell="cell").select("query_id", "vec_id", "rank", "score")

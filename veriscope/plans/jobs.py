@@ -41,9 +41,10 @@ def enrich_corpus(spark: SparkSession, works_csv: str, papers: DataFrame, out: s
     return enriched
 
 
-def index_abstracts(works: DataFrame, store: EvidenceStore, gate: bool = True) -> None:
+def index_abstracts(works: DataFrame, store: EvidenceStore, gate: bool = True,
+                    keep: list[str] | None = None) -> None:
     """Works -> documents -> (topic gate) -> store (dedupe, skip stored, embed)."""
-    docs = to_documents(works)
+    docs = to_documents(works, keep=keep)
     if gate:
         docs = topic_gate(docs, "content").drop("topic")
     store.write_documents(docs)
@@ -71,7 +72,7 @@ def find_evidence(claims: DataFrame, store: DataFrame, k: int = TOP_K, metric: s
     """Top-k store documents per claim, with claim text, content and meta."""
     q = claims.select("claim_id", hash_embedding(F.col("claim"), dim).alias("embedding"))
     hits = knn.knn_topk(q, store.select("doc_id", "embedding"), k, metric, qid="claim_id", did="doc_id",
-                        **knn_kw)
+                        dim=dim, **knn_kw)
     return (hits.join(claims.select("claim_id", "claim"), "claim_id")
             .join(store.select("doc_id", "content", "meta"), "doc_id"))
 

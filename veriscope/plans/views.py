@@ -17,18 +17,9 @@ from pyspark.sql import functions as F
 from veriscope.constants import DOI_PREFIX, HASH_DIM, WORK_ID_PREFIX
 from veriscope.functions.text import collapse_ws, doc_key, embed_input
 from veriscope.functions.vectors import hash_embedding
-from veriscope.sources.store import dedupe_documents
-
-
-def spread(df: DataFrame, factor: int = 4) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    Large inputs arrive in many splits and are left alone (no shuffle); a small
-    file with a single row group would otherwise run every text operator in one
-    task."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism \
-        else df
+from veriscope.session import scratch_path
+from veriscope.sources.scan import spread
+from veriscope.sources.store import EvidenceStore, dedupe_documents
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,9 +87,9 @@ def invert_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_WORK rows as landed by the works API, derived from documents + conversations."""
     docs = load(spark, sf_dir, "documents")
-    inv = invert_text(docs)
+    inv = _invert_udf()(F.split(collapse_ws(F.col("text")), " ")).alias("abstract_inverted_index")
     auth = author_lists(load(spark, sf_dir, "conversations")).withColumnRenamed("conv_id", "doc_id")
-    return (docs.join(inv, "doc_id", "left").join(auth, "doc_id", "left")
+    return (docs.select("*", inv).join(auth, "doc_id", "left")
             .select(*work_columns(docs), "abstract_inverted_index",
                     F.coalesce(F.col("authorships"),
                                F.array().cast("array<struct<author:map<string,string>>>")).alias("authorships")))
@@ -116,8 +107,8 @@ def papers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxic").cast("int").alias("influentialCitationCount"))
 
 
-def store_documents(spark: SparkSession, sf_dir: str, with_authors: bool = False) -> DataFrame:
-    """Documents as store rows: doc_key, doc_id, content, meta (duplicates skipped)."""
+def document_rows(spark: SparkSession, sf_dir: str, with_authors: bool = False) -> DataFrame:
+    """Documents as store input rows: doc_id, content, meta (duplicates still present)."""
     docs = load(spark, sf_dir, "documents")
     if with_authors:
         w = works_view(spark, sf_dir)
@@ -125,13 +116,20 @@ def store_documents(spark: SparkSession, sf_dir: str, with_authors: bool = False
         base = docs.select("doc_id", "text").join(meta_src, "doc_id")
     else:
         base = docs.select("doc_id", "text", *work_columns(docs)).withColumn("authors", F.lit(""))
-    rows = base.select(
-        doc_key(F.col("text")).alias("doc_key"), F.col("doc_id").cast("long"), F.col("text").alias("content"),
+    return base.select(
+        F.col("doc_id").cast("long"), F.col("text").alias("content"),
         F.struct("title", "publication_year", "authors", "doi", F.col("id").alias("open_alex_id")).alias("meta"))
-    return dedupe_documents(rows)
+
+
+def store_documents(spark: SparkSession, sf_dir: str, with_authors: bool = False) -> DataFrame:
+    """Store rows (doc_key, doc_id, content, meta) with duplicate contents skipped."""
+    rows = document_rows(spark, sf_dir, with_authors)
+    return dedupe_documents(rows.withColumn("doc_key", doc_key(F.col("content"))))
 
 
 def embedded_store(spark: SparkSession, sf_dir: str, dim: int = HASH_DIM) -> DataFrame:
-    """Store rows with their hash embedding of title + content."""
-    return store_documents(spark, sf_dir).withColumn(
-        "embedding", hash_embedding(embed_input(F.col("meta.title"), F.col("content")), dim))
+    """Index the documents (C3 without gate: dedupe, embed title + content, write
+    Parquet into the shared checkpoint folder) and open the written store."""
+    store = EvidenceStore(spark, scratch_path(spark, "store"), dim=dim, recreate=True)
+    store.write_documents(document_rows(spark, sf_dir))
+    return spread(store.read())
