@@ -120,7 +120,7 @@ class _TopK:
 
 def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                           qid: str, did: str, qvec: str, dvec: str,
-                          probes: str | None, cell: str | None) -> DataFrame:
+                          probes: str | None, cell: str | None, scan_tasks: int | None = None) -> DataFrame:
     spark = store.sparkSession
     qcols = [F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v")]
     if probes:
@@ -162,15 +162,27 @@ def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric:
     scols = [F.col(did).cast("long").alias("did"), F.col(dvec).alias("v")]
     if probes:
         scols.append(F.col(cell).cast("int").alias("c"))
-        cells_needed = queries.select(F.explode(probes).alias("c")).distinct()
-        store = store.join(cells_needed.hint("broadcast"), F.col(cell) == cells_needed["c"], "left_semi")
-    return store.select(*scols).mapInPandas(local_topk, CANDIDATE_SCHEMA)
+        # Only cells some query probes are read (partition filter on a cell-partitioned store).
+        store = store.filter(F.col(cell).isin(sorted(probe_map)))
+    return _cap_tasks(store.select(*scols), scan_tasks).mapInPandas(local_topk, CANDIDATE_SCHEMA)
+
+
+def _cap_tasks(df: DataFrame, scan_tasks: int | None) -> DataFrame:
+    """Each scan task emits up to k candidates per query, so many small splits are
+    merged (narrow ``coalesce``, no shuffle) into at most ``scan_tasks`` tasks."""
+    if not scan_tasks:
+        scan_tasks = df.sparkSession.sparkContext.defaultParallelism * 4
+    return df.coalesce(scan_tasks) if df.rdd.getNumPartitions() > scan_tasks else df
 
 
 def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                         qid: str, did: str, qvec: str, dvec: str,
                         probes: str | None, cell: str | None,
                         n_qblocks: int, max_store_rows: int) -> DataFrame:
+    if probes:
+        # Probed cells: at most nlist values, so they are collected and used as a partition filter.
+        needed = [r[0] for r in queries.select(F.explode(probes)).distinct().collect()]
+        store = store.filter(F.col(cell).isin(sorted(int(c) for c in needed)))
     s = store.select(F.col(did).cast("long").alias("did"), F.col(dvec).alias("v"),
                      (F.col(cell).cast("int") if cell else F.lit(0)).alias("cell"))
     q = queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v"),
@@ -215,7 +227,8 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
              qid: str = "claim_id", did: str = "doc_id", qvec: str = "embedding",
              dvec: str = "embedding", probes: str | None = None, cell: str | None = None,
              method: str = "auto", broadcast_budget_bytes: int = 256 << 20,
-             max_store_rows: int = 200_000, dim: int | None = None) -> DataFrame:
+             max_store_rows: int = 200_000, dim: int | None = None,
+             scan_tasks: int | None = None) -> DataFrame:
     """Exact (or IVF when ``probes``/``cell`` are given) top-k store rows per query.
 
     The query side is broadcast only when its estimated size (rows x dim) fits the
@@ -233,7 +246,7 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
     if method == "auto":
         method = "broadcast" if est <= broadcast_budget_bytes else "blocked"
     if method == "broadcast":
-        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell)
+        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell, scan_tasks)
     elif method == "blocked":
         n_blocks = max(1, math.ceil(est / broadcast_budget_bytes))
         cand = _blocked_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell,

@@ -68,13 +68,17 @@ def article_claims(articles: DataFrame, id_cols: list[str], text_col: str = "tex
 
 
 def find_evidence(claims: DataFrame, store: DataFrame, k: int = TOP_K, metric: str = "cosine",
-                  dim: int = HASH_DIM, **knn_kw) -> DataFrame:
-    """Top-k store documents per claim, with claim text, content and meta."""
+                  dim: int = HASH_DIM, broadcast_hits_rows: int = 2_000_000, **knn_kw) -> DataFrame:
+    """Top-k store documents per claim, with claim text, content and meta.
+
+    The hits have at most claims x k rows; under ``broadcast_hits_rows`` they are
+    broadcast to the store scan so the store is never shuffled for the content join."""
     q = claims.select("claim_id", hash_embedding(F.col("claim"), dim).alias("embedding"))
     hits = knn.knn_topk(q, store.select("doc_id", "embedding"), k, metric, qid="claim_id", did="doc_id",
-                        dim=dim, **knn_kw)
-    return (hits.join(claims.select("claim_id", "claim"), "claim_id")
-            .join(store.select("doc_id", "content", "meta"), "doc_id"))
+                        dim=dim, **knn_kw).join(claims.select("claim_id", "claim"), "claim_id")
+    if claims.count() * k <= broadcast_hits_rows:
+        hits = F.broadcast(hits)
+    return store.select("doc_id", "content", "meta").join(hits, "doc_id")
 
 
 def match_report(matches: DataFrame) -> DataFrame:

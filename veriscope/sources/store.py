@@ -28,10 +28,20 @@ def dedupe_documents(docs: DataFrame, key: str = "doc_key", id_col: str = "doc_i
     return docs.groupBy(key).agg(best).select(key, "_b.*")
 
 
-def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str = "doc_key") -> DataFrame:
-    """Rows whose key is not stored yet."""
+def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str = "doc_key",
+                     broadcast_keys: int = 2_000_000) -> DataFrame:
+    """Rows whose key is not stored yet.
+
+    When the new batch has at most ``broadcast_keys`` keys, they are broadcast to
+    the store's key scan (a semi-join that keeps the store in place) and the batch
+    is then anti-joined against the few matching keys.  Larger batches use a plain
+    shuffled anti-join."""
     if existing is None:
         return new_docs
+    keys = new_docs.select(key).distinct()
+    if keys.count() <= broadcast_keys:
+        present = existing.select(key).join(F.broadcast(keys), key, "left_semi")
+        return new_docs.join(F.broadcast(present), key, "left_anti")
     return new_docs.join(existing.select(key), key, "left_anti")
 
 
