@@ -30,7 +30,7 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and "match_report" in q
     assert set(q) - set(o) == {"ivf_probe", "ml_topic"}
-    assert len(q) >= 42
+    assert len(q) >= 43
 
 
 def test_entry_runs(spark):

@@ -277,12 +277,16 @@ def _unit(col: str):
 
 
 def train_ivf(store: DataFrame, nlist: int, vec: str = "embedding", metric: str = "cosine",
-              seed: int = 7, max_iter: int = 10) -> np.ndarray:
-    """Cluster centres for an IVF index (pyspark.ml KMeans; nlist x dim, bounded by nlist)."""
+              seed: int = 7, max_iter: int = 10, train_fraction: float | None = None) -> np.ndarray:
+    """Cluster centres for an IVF index (pyspark.ml KMeans; nlist x dim, bounded by nlist).
+
+    ``train_fraction`` fits the centres on a sample (the usual quantizer training on
+    very large stores); every row is still filed under a cell and searched."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     v = _unit(vec) if metric == "cosine" else F.col(vec)
-    feats = store.select(array_to_vector(v).alias("features"))
+    src = store.sample(fraction=train_fraction, seed=seed) if train_fraction else store
+    feats = src.select(array_to_vector(v).alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
     return np.asarray(model.clusterCenters(), dtype=np.float64)
 

@@ -34,7 +34,9 @@ from veriscope.plans import sql as S
 from veriscope.plans.views import (
     embedded_store, invert_text, load, papers_view, raw_works, store_documents, works_view,
 )
+from veriscope.schemas import CLAIM_RECORD, CORPUS_RECORD
 from veriscope.session import scratch_path
+from veriscope.sources.jsonl import write_claims_jsonl, write_corpus_jsonl
 from veriscope.sources.scan import spread
 from veriscope.sources.store import EvidenceStore, dedupe_documents, embed_missing
 from veriscope.sources.works import (
@@ -524,12 +526,20 @@ corpus AS (SELECT row_number() OVER (ORDER BY claim_id, rank) - 1 AS doc_id, cla
                   {S.sentences('content')} AS l FROM m)"""
 
 
+def _export_files(spark, sf) -> str:
+    """C9 end to end: claims (no gate) -> top-30 -> corpus and claim records -> JSON lines."""
+    corpus, claims = jobs.export_abstracts(_benchmark_claims(spark, sf, gate=False), embedded_store(spark, sf))
+    path = scratch_path(spark, "export")
+    write_corpus_jsonl(corpus, f"{path}/corpus")
+    write_claims_jsonl(claims, f"{path}/claims")
+    return path
+
+
 @query("export_corpus_abstracts", f"""{_EXPORT_ABS}
-SELECT doc_id, claim_id, rank, title, array_to_string(l, ' | ') AS abstract, len(l)::INTEGER AS n_sentences
-FROM corpus""")
+SELECT doc_id, title, array_to_string(l, ' | ') AS abstract, len(l)::INTEGER AS n_sentences FROM corpus""")
 def q_export_corpus(spark, sf):
-    corpus, _ = jobs.export_abstracts(_benchmark_claims(spark, sf, gate=False), embedded_store(spark, sf))
-    return corpus.select("doc_id", "claim_id", "rank", "title", joined("abstract").alias("abstract"),
+    corpus = spark.read.schema(CORPUS_RECORD).json(f"{_export_files(spark, sf)}/corpus")
+    return corpus.select("doc_id", "title", joined("abstract").alias("abstract"),
                          F.size("abstract").alias("n_sentences"))
 
 
@@ -538,7 +548,7 @@ SELECT c.claim_id AS id, c.claim, coalesce(array_to_string(list(corpus.doc_id OR
        AS doc_ids, count(corpus.doc_id) AS n_docs
 FROM claims c LEFT JOIN corpus USING (claim_id) GROUP BY c.claim_id, c.claim""")
 def q_export_claims(spark, sf):
-    _, claims = jobs.export_abstracts(_benchmark_claims(spark, sf, gate=False), embedded_store(spark, sf))
+    claims = spark.read.schema(CLAIM_RECORD).json(f"{_export_files(spark, sf)}/claims")
     return claims.select("id", "claim", F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ",")
                          .alias("doc_ids"), F.size("doc_ids").cast("long").alias("n_docs"))
 
@@ -589,6 +599,24 @@ def q_stream_ingest(spark, sf):
     return store.read().select("doc_key", F.length(F.coalesce("content", F.lit(""))).cast("long").alias("n_chars"))
 
 
+@query("stream_ingest_works", f"""
+WITH {_INVERT_SQL}
+SELECT DISTINCT sha256(abstract) AS doc_key, length(abstract)::BIGINT AS n_chars FROM abs""")
+def q_stream_ingest_works(spark, sf):
+    """S2 over landed work pages: two overlapping landings streamed page by page into the store."""
+    from veriscope.schemas import RAW_WORK
+    from veriscope.operators.filters import to_documents
+    from veriscope.streaming.ingest import ingest_pages
+    raw = raw_works(spark, sf)
+    landing = scratch_path(spark, "work-pages")
+    raw.write.mode("overwrite").json(f"{landing}/first")
+    raw.repartition(3).write.mode("overwrite").json(f"{landing}/again")
+    store = EvidenceStore(spark, scratch_path(spark, "works-store"), recreate=True)
+    ingest_pages(spark, f"{landing}/*", RAW_WORK, store, lambda b: to_documents(flatten_works(b)),
+                 scratch_path(spark, "work-pages-ckpt"), max_files_per_trigger=8)
+    return store.read().select("doc_key", F.length("content").cast("long").alias("n_chars"))
+
+
 def _count_words(pdf):
     import pandas as pd
     n = pdf["text"].fillna("").str.lower().str.count("[a-z]+")

@@ -29,17 +29,19 @@ def dedupe_documents(docs: DataFrame, key: str = "doc_key", id_col: str = "doc_i
 
 
 def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str = "doc_key",
-                     broadcast_keys: int = 2_000_000) -> DataFrame:
+                     broadcast_keys: int = 2_000_000, n_keys_bound: int | None = None) -> DataFrame:
     """Rows whose key is not stored yet.
 
-    When the new batch has at most ``broadcast_keys`` keys, they are broadcast to
-    the store's key scan (a semi-join that keeps the store in place) and the batch
-    is then anti-joined against the few matching keys.  Larger batches use a plain
+    When the new batch has at most ``broadcast_keys`` keys (``n_keys_bound``, e.g.
+    its input row count, or counted here), they are broadcast to the store's key
+    scan (a semi-join that keeps the store in place) and the batch is then
+    anti-joined against the few matching keys.  Larger batches use a plain
     shuffled anti-join."""
     if existing is None:
         return new_docs
     keys = new_docs.select(key).distinct()
-    if keys.count() <= broadcast_keys:
+    bound = n_keys_bound if n_keys_bound is not None else keys.count()
+    if bound <= broadcast_keys:
         present = existing.select(key).join(F.broadcast(keys), key, "left_semi")
         return new_docs.join(F.broadcast(present), key, "left_anti")
     return new_docs.join(existing.select(key), key, "left_anti")
@@ -89,7 +91,11 @@ class EvidenceStore:
 
     def new_documents(self, docs: DataFrame) -> DataFrame:
         """S7 without the write: dedupe, skip stored keys, embed the missing vectors."""
-        fresh = insert_if_absent(dedupe_documents(self.prepare(docs)), self.read() if self.exists() else None)
+        existing = self.read() if self.exists() else None
+        if existing is not None and existing.isEmpty():
+            existing = None
+        bound = docs.count() if existing is not None else None      # rows >= distinct keys; no column read
+        fresh = insert_if_absent(dedupe_documents(self.prepare(docs)), existing, n_keys_bound=bound)
         return embed_missing(fresh, self.embed, embed_input(F.col("meta.title"), F.col("content")))
 
     def write_documents(self, docs: DataFrame) -> None:
