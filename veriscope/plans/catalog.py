@@ -609,7 +609,7 @@ def q_stream_ingest_works(spark, sf):
     from veriscope.streaming.ingest import ingest_pages
     raw = raw_works(spark, sf)
     landing = scratch_path(spark, "work-pages")
-    raw.write.mode("overwrite").json(f"{landing}/first")
+    raw.coalesce(8).write.mode("overwrite").json(f"{landing}/first")
     raw.repartition(3).write.mode("overwrite").json(f"{landing}/again")
     store = EvidenceStore(spark, scratch_path(spark, "works-store"), recreate=True)
     ingest_pages(spark, f"{landing}/*", RAW_WORK, store, lambda b: to_documents(flatten_works(b)),

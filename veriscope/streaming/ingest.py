@@ -29,7 +29,11 @@ def ingest_pages(spark: SparkSession, landing: str, schema: StructType, store: E
               .json(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        store.write_documents(to_documents(batch))
+        batch.persist()          # parsed once; reused by the size check and the write
+        try:
+            store.write_documents(to_documents(batch))
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
