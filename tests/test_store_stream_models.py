@@ -72,3 +72,13 @@ def test_partition_map(spark):
     df = spark.range(100).withColumn("t", F.lit("a b"))
     out = partition_map(df, lambda p: pd.DataFrame({"id": p["id"], "n": p["t"].str.len()}), "id long, n long", 4)
     assert out.count() == 100 and out.agg(F.sum("n")).first()[0] == 300
+
+
+def test_insert_if_absent_paths_agree(spark):
+    from veriscope.sources.store import insert_if_absent
+    new = spark.createDataFrame([(f"k{i % 50}", i) for i in range(200)], "doc_key string, doc_id long")
+    old = spark.createDataFrame([(f"k{i}",) for i in range(0, 80, 3)], "doc_key string")
+    a = insert_if_absent(new, old, broadcast_keys=10_000)          # broadcast semi-join path
+    b = insert_if_absent(new, old, broadcast_keys=0)               # shuffled anti-join path
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.count() == 200 - 4 * 17
