@@ -36,7 +36,8 @@ def test_contract_keys():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["claim_id", "claim", "rank", "score", "doc_id", "quote", "title", "doi", "year"]
+    assert df.columns == ["claim_id", "claim", "rank", "evidence_no", "score", "similarity", "doc_id", "quote",
+                          "title", "doi", "year"]
 
 
 @pytest.fixture(scope="module")

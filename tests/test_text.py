@@ -62,3 +62,10 @@ def test_coalesce_abstract_doc_key_embed_input(spark):
 
 def test_raw_work_schema_has_map_abstract():
     assert RAW_WORK["abstract_inverted_index"].dataType.simpleString() == "map<string,array<int>>"
+
+
+def test_score_formatting(spark):
+    from veriscope.functions.vectors import format_prob, format_similarity
+    r = spark.createDataFrame([(0.98765, 0.5)], "s double, p double").select(
+        format_similarity(F.col("s")).alias("a"), format_prob(F.col("p")).alias("b")).first()
+    assert (r.a, r.b) == ("0.988", "0.50")

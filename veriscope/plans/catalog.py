@@ -480,7 +480,8 @@ def _benchmark_matches(spark, sf, k: int = TOP_K, gate: bool = True):
 
 _REPORT_SQL = f"""
 WITH {_store_cte()}, {_article_claims_sql('benchmark', ['item_id'], True)}, {_matches_sql(TOP_K)}
-SELECT claim_id, claim, rank, score, doc_id, content AS quote, title, doi, year FROM m"""
+SELECT claim_id, claim, rank, rank - 1 AS evidence_no, score, printf('%.3f', score) AS similarity, doc_id,
+       content AS quote, title, doi, year FROM m"""
 
 
 @query("match_report", _REPORT_SQL)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veriscope.constants import (
     CLAIM_THRESHOLD_TEXT, HASH_DIM, TOP_K, TOP_K_EXPORT, VERDICT_THRESHOLD,
 )
-from veriscope.functions.vectors import hash_embedding
+from veriscope.functions.vectors import format_similarity, hash_embedding
 from veriscope.operators import knn
 from veriscope.operators.claims import (
     attach_claims, claim_documents, claims_per_doc, extract_claims,
@@ -82,8 +82,9 @@ def find_evidence(claims: DataFrame, store: DataFrame, k: int = TOP_K, metric: s
 
 
 def match_report(matches: DataFrame) -> DataFrame:
-    """C11: claim, rank, similarity, quote, title, doi, year as a table."""
-    return matches.select("claim_id", "claim", "rank", "score", "doc_id",
+    """C11: claim, evidence number (from 0), similarity (3 decimals), quote, title, doi, year."""
+    return matches.select("claim_id", "claim", "rank", (F.col("rank") - 1).alias("evidence_no"), "score",
+                          format_similarity(F.col("score")).alias("similarity"), "doc_id",
                           F.col("content").alias("quote"), F.col("meta.title").alias("title"),
                           F.col("meta.doi").alias("doi"), F.col("meta.publication_year").alias("year"))
 
