@@ -99,3 +99,10 @@ def test_topk_single_matches_batch(spark):
     batch = _as_dict(knn.knn_topk(queries, store, 6))[100]
     assert [(r.score, r.doc_id) for r in one] == batch
     assert [r.rank for r in one] == list(range(1, 7))
+
+
+def test_rows_without_vectors_are_skipped(spark):
+    store, queries, d, q = _frames(spark)
+    holes = store.unionByName(spark.createDataFrame([(9999, None)], "doc_id long, embedding array<float>"))
+    assert _as_dict(knn.knn_topk(queries, holes, 5)) == _as_dict(knn.knn_topk(queries, store, 5))
+    assert 9999 not in [r.doc_id for r in knn.topk_single(holes, list(q[0]), 400).collect()]

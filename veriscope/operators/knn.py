@@ -239,6 +239,9 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
         raise ValueError(f"unknown similarity {metric!r}")
     if probes and not cell:
         raise ValueError("probes need the store's cell column")
+    # Rows without a vector cannot be scored (documents stored but not embedded yet).
+    queries = queries.filter(F.col(qvec).isNotNull())
+    store = store.filter(F.col(dvec).isNotNull())
     n_q = queries.count()
     if dim is None:
         dim = queries.agg(F.max(F.size(qvec))).first()[0] or 0
@@ -262,7 +265,7 @@ def topk_single(store: DataFrame, vector: list[float], k: int = 10, metric: str
     """Top-k for one query vector: a per-row expression and TakeOrdered (no shuffle of rows)."""
     qv = F.array(*[F.lit(float(x)).cast("double") for x in vector])
     sim = cosine_expr(F.col(dvec), qv) if metric == "cosine" else dot_expr(F.col(dvec), qv)
-    scored = store.withColumn("score", F.round(sim, 6))
+    scored = store.filter(F.col(dvec).isNotNull()).withColumn("score", F.round(sim, 6))
     top = scored.orderBy(F.col("score").desc(), F.col(did).asc()).limit(k)
     w = Window.orderBy(F.col("score").desc(), F.col(did).asc())
     return top.withColumn("rank", F.row_number().over(w).cast("int"))

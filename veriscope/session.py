@@ -23,6 +23,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Remove reliable-checkpoint files once their DataFrame is no longer referenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": os.environ.get("VERISCOPE_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:
