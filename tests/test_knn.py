@@ -62,6 +62,12 @@ def test_exact_paths_equal_brute_force(spark):
         for method in ("broadcast", "blocked"):
             got = _as_dict(knn.knn_topk(queries, store, 7, metric, method=method, max_store_rows=37))
             assert got == want, (metric, method)
+        # several query blocks per cell (budget fits 2 queries per group)
+        tiny = _as_dict(knn.knn_topk(queries, store, 7, metric, method="blocked", max_store_rows=37,
+                                     broadcast_budget_bytes=300))
+        assert tiny == want, (metric, "blocked-tiny")
+        # budget too small for a broadcast: "auto" must choose the blocked plan and agree
+        assert _as_dict(knn.knn_topk(queries, store, 7, metric, broadcast_budget_bytes=300)) == want
 
 
 def test_ranks_dense_from_one_and_topk_prefix(spark):
@@ -83,7 +89,8 @@ def test_ivf_full_probe_equals_exact_and_recall_grows(spark, out_dir):
     full = _as_dict(knn.knn_topk(knn.probe_cells(queries, cents, 6), ivf, 5, probes="cells", cell="cell"))
     assert full == exact
     full_blocked = _as_dict(knn.knn_topk(knn.probe_cells(queries, cents, 6), ivf, 5, probes="cells",
-                                         cell="cell", method="blocked", max_store_rows=50))
+                                         cell="cell", method="blocked", max_store_rows=50,
+                                         broadcast_budget_bytes=500))
     assert full_blocked == exact
     recalls = []
     for n in (1, 2, 4, 6):

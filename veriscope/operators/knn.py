@@ -20,7 +20,6 @@ broken by the smaller document id, so results are deterministic.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -178,28 +177,33 @@ def _cap_tasks(df: DataFrame, scan_tasks: int | None) -> DataFrame:
 def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                         qid: str, did: str, qvec: str, dvec: str,
                         probes: str | None, cell: str | None,
-                        n_qblocks: int, max_store_rows: int) -> DataFrame:
+                        max_query_rows: int, max_store_rows: int) -> DataFrame:
     if probes:
         # Probed cells: at most nlist values, so they are collected and used as a partition filter.
         needed = [r[0] for r in queries.select(F.explode(probes)).distinct().collect()]
         store = store.filter(F.col(cell).isin(sorted(int(c) for c in needed)))
     s = store.select(F.col(did).cast("long").alias("did"), F.col(dvec).alias("v"),
                      (F.col(cell).cast("int") if cell else F.lit(0)).alias("cell"))
-    q = queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v"),
-                       (F.col(probes) if probes else F.array(F.lit(0))).alias("cells"))
-    # Salts per cell from the cell sizes: a small table (one row per cell).
-    stats = (s.groupBy("cell").count()
-             .select("cell", F.greatest(F.lit(1), F.ceil(F.col("count") / F.lit(max_store_rows)))
-                     .cast("int").alias("salts")))
+    q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v"),
+                        (F.col(probes) if probes else F.array(F.lit(0))).alias("cells"))
+         .select("qid", "v", F.explode("cells").alias("cell")))
+    # Per cell: store salts and query blocks, from the cell sizes on each side.  One row
+    # per cell (bounded by nlist), broadcast to both sides.
+    s_stats = s.groupBy("cell").agg(F.count(F.lit(1)).alias("n_docs"))
+    q_stats = q.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries"))
+    stats = (s_stats.join(q_stats, "cell")
+             .select("cell",
+                     F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(max_store_rows))).cast("int").alias("salts"),
+                     F.greatest(F.lit(1), F.ceil(F.col("n_queries") / F.lit(max_query_rows))).cast("int")
+                     .alias("qblocks")))
     s_g = (s.join(F.broadcast(stats), "cell")
            .withColumn("salt", F.pmod(F.xxhash64("did"), F.col("salts")).cast("int"))
-           .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(n_qblocks - 1))))
-           .drop("salts"))
-    q_g = (q.select("qid", "v", F.explode("cells").alias("cell"))
-           .join(F.broadcast(stats), "cell")
+           .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
+           .drop("salts", "qblocks"))
+    q_g = (q.join(F.broadcast(stats), "cell")
            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-           .withColumn("qblock", F.pmod(F.xxhash64("qid"), F.lit(n_qblocks)).cast("int"))
-           .drop("salts"))
+           .withColumn("qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks")).cast("int"))
+           .drop("salts", "qblocks"))
 
     def group_topk(docs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if docs.empty or qs.empty:
@@ -251,9 +255,9 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
     if method == "broadcast":
         cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell, scan_tasks)
     elif method == "blocked":
-        n_blocks = max(1, math.ceil(est / broadcast_budget_bytes))
+        max_query_rows = max(1, broadcast_budget_bytes // (dim * 8 + 64))
         cand = _blocked_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell,
-                                   n_blocks, max_store_rows)
+                                   max_query_rows, max_store_rows)
     else:
         raise ValueError(f"unknown method {method!r}")
     out = final_topk(cand, k)
