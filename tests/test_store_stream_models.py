@@ -82,3 +82,22 @@ def test_insert_if_absent_paths_agree(spark):
     b = insert_if_absent(new, old, broadcast_keys=0)               # shuffled anti-join path
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == 200 - 4 * 17
+
+
+def test_streamed_store_equals_batch_store(spark, out_dir):
+    rows = [(i, f"text {i % 7} of the sea", f"s{i % 3}") for i in range(60)]
+    src = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    src.repartition(6).write.json(out_dir + "/land6")
+
+    def to_docs(b):
+        return b.select("doc_id", F.col("text").alias("content"),
+                        F.struct(F.col("source").alias("title"), F.lit(None).cast("int").alias("publication_year"),
+                                 F.lit("").alias("authors"), F.lit("").alias("doi"),
+                                 F.lit("").alias("open_alex_id")).alias("meta"))
+    streamed = EvidenceStore(spark, out_dir + "/s1", recreate=True)
+    ingest_pages(spark, out_dir + "/land6", src.schema, streamed, to_docs, out_dir + "/ck6", max_files_per_trigger=1)
+    batch = EvidenceStore(spark, out_dir + "/s2", recreate=True)
+    batch.write_documents(to_docs(src))
+    cols = ["doc_key", "content"]
+    assert sorted(streamed.read().select(*cols).collect()) == sorted(batch.read().select(*cols).collect())
+    assert streamed.read().count() == 7

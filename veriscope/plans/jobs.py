@@ -69,16 +69,22 @@ def article_claims(articles: DataFrame, id_cols: list[str], text_col: str = "tex
 
 def find_evidence(claims: DataFrame, store: DataFrame, k: int = TOP_K, metric: str = "cosine",
                   dim: int = HASH_DIM, broadcast_hits_rows: int = 2_000_000, **knn_kw) -> DataFrame:
-    """Top-k store documents per claim, with claim text, content and meta.
-
-    The hits have at most claims x k rows; under ``broadcast_hits_rows`` they are
-    broadcast to the store scan so the store is never shuffled for the content join."""
+    """Top-k store documents per claim, with claim text, content and meta."""
     q = claims.select("claim_id", hash_embedding(F.col("claim"), dim).alias("embedding"))
     hits = knn.knn_topk(q, store.select("doc_id", "embedding"), k, metric, qid="claim_id", did="doc_id",
-                        dim=dim, **knn_kw).join(claims.select("claim_id", "claim"), "claim_id")
-    if claims.count() * k <= broadcast_hits_rows:
+                        dim=dim, **knn_kw)
+    matched = attach_content(hits, store, claims.count() * k, broadcast_hits_rows)
+    return matched.join(claims.select("claim_id", "claim"), "claim_id")
+
+
+def attach_content(hits: DataFrame, store: DataFrame, max_hits: int, broadcast_hits_rows: int = 2_000_000,
+                   did: str = "doc_id") -> DataFrame:
+    """Content and meta of the matched documents.  The hits (ids, score, rank; at
+    most ``max_hits`` rows) are broadcast into the store scan when that bound is
+    small, so the store itself is never shuffled for this join."""
+    if max_hits <= broadcast_hits_rows:
         hits = F.broadcast(hits)
-    return store.select("doc_id", "content", "meta").join(hits, "doc_id")
+    return store.select(did, "content", "meta").join(hits, did)
 
 
 def match_report(matches: DataFrame) -> DataFrame:

@@ -120,4 +120,6 @@ class EvidenceStore:
         q = queries.select(F.col(qid), self.embed(F.col(text)).alias("embedding"))
         store = self.read()
         hits = knn.knn_topk(q, store, k, self.similarity, qid=qid, did="doc_id", **kw)
-        return hits.join(store.select("doc_id", "content", "meta"), "doc_id")
+        if queries.count() * k <= 2_000_000:     # bounded hits: broadcast them into the store scan
+            hits = F.broadcast(hits)
+        return store.select("doc_id", "content", "meta").join(hits, "doc_id")
