@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from veriscope.constants import DOI_PREFIX, HASH_DIM, WORK_ID_PREFIX
-from veriscope.functions.text import collapse_ws, doc_key, embed_input
-from veriscope.functions.vectors import hash_embedding
+from veriscope.functions.text import collapse_ws, doc_key
 from veriscope.session import scratch_path
 from veriscope.sources.scan import spread
 from veriscope.sources.store import EvidenceStore, dedupe_documents
