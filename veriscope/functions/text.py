@@ -33,7 +33,8 @@ def uninvert_abstract(m) -> Column:
     every distinct word appears once, at its first position.  Null stays null.
     """
     m = _c(m)
-    by_pos = F.array_sort(F.transform(F.map_entries(m),
+    # sort_array orders with a native comparator (array_sort's default comparator is a lambda)
+    by_pos = F.sort_array(F.transform(F.map_entries(m),
                                       lambda e: F.struct(e["value"].alias("pos"), e["key"].alias("word"))))
     return F.when(m.isNull(), F.lit(None)).otherwise(
         F.array_join(F.transform(by_pos, lambda x: x["word"]), " "))
