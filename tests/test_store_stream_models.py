@@ -101,3 +101,22 @@ def test_streamed_store_equals_batch_store(spark, out_dir):
     cols = ["doc_key", "content"]
     assert sorted(streamed.read().select(*cols).collect()) == sorted(batch.read().select(*cols).collect())
     assert streamed.read().count() == 7
+
+
+def test_stream_ingest_continuous_trigger(spark, out_dir):
+    src = spark.createDataFrame([(1, "x y", "s"), (2, "x y", "s"), (3, "z", "s")], "doc_id long, text string, source string")
+    src.write.json(out_dir + "/landc")
+    store = EvidenceStore(spark, out_dir + "/stc", recreate=True)
+
+    def to_docs(b):
+        return b.select("doc_id", F.col("text").alias("content"),
+                        F.struct(F.col("source").alias("title"), F.lit(None).cast("int").alias("publication_year"),
+                                 F.lit("").alias("authors"), F.lit("").alias("doi"),
+                                 F.lit("").alias("open_alex_id")).alias("meta"))
+    q = ingest_pages(spark, out_dir + "/landc", src.schema, store, to_docs, out_dir + "/ckc",
+                     processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.content for r in store.read().collect()) == ["x y", "z"]

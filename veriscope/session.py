@@ -21,6 +21,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Sizing for large inputs: scan splits and post-shuffle partitions sized to fit
+        # executor memory; AQE merges small partitions and splits skewed ones.
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        # Size-checked automatic broadcasts only (the default 10 MB bound, stated).
+        "spark.sql.autoBroadcastJoinThreshold": "10m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         # Remove reliable-checkpoint files once their DataFrame is no longer referenced.

@@ -19,8 +19,10 @@ from veriscope.sources.store import EvidenceStore
 
 def ingest_pages(spark: SparkSession, landing: str, schema: StructType, store: EvidenceStore,
                  to_documents: Callable[[DataFrame], DataFrame], checkpoint: str,
-                 max_files_per_trigger: int = 10, multiline: bool = False) -> None:
-    """Run until every landed file is taken (``availableNow``), then return."""
+                 max_files_per_trigger: int = 10, multiline: bool = False,
+                 processing_time: str | None = None):
+    """Take every landed file (``availableNow``) and return; with ``processing_time``
+    (e.g. ``"1 minute"``) keep running and return the StreamingQuery instead."""
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("multiLine", multiline)
@@ -35,8 +37,9 @@ def ingest_pages(spark: SparkSession, landing: str, schema: StructType, store: E
         finally:
             batch.unpersist()
 
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
+    return None
