@@ -113,3 +113,12 @@ def test_rows_without_vectors_are_skipped(spark):
     holes = store.unionByName(spark.createDataFrame([(9999, None)], "doc_id long, embedding array<float>"))
     assert _as_dict(knn.knn_topk(queries, holes, 5)) == _as_dict(knn.knn_topk(queries, store, 5))
     assert 9999 not in [r.doc_id for r in knn.topk_single(holes, list(q[0]), 400).collect()]
+
+
+def test_autoindex_picks_nlist_and_full_probe_is_exact(spark, out_dir):
+    store, queries, _, _ = _frames(spark, n_docs=100, dim=8)
+    cents = knn.build_ivf_index(store, out_dir + "/auto", "AUTOINDEX")
+    assert len(cents) == knn.auto_nlist(100) == 40
+    ivf = spark.read.parquet(out_dir + "/auto")
+    got = _as_dict(knn.knn_topk(knn.probe_cells(queries, cents, len(cents)), ivf, 5, probes="cells", cell="cell"))
+    assert got == _as_dict(knn.knn_topk(queries, store, 5))

@@ -20,6 +20,7 @@ broken by the smaller document id, so results are deterministic.
 
 from __future__ import annotations
 
+import math
 
 import numpy as np
 import pandas as pd
@@ -330,6 +331,28 @@ def write_ivf_store(store: DataFrame, centroids: np.ndarray, path: str, vec: str
      .write.mode(mode).partitionBy("cell").parquet(path))
 
 
+def auto_nlist(n_rows: int) -> int:
+    """Cell count chosen from the store size (about 4 sqrt(n), between 1 and 65536)."""
+    return int(min(65536, max(1, round(4 * math.sqrt(max(n_rows, 1))))))
+
+
+def build_ivf_index(store: DataFrame, path: str, index_type: str = "IVF_FLAT", nlist: int | None = None,
+                    vec: str = "embedding", metric: str = "cosine", seed: int = 7,
+                    train_fraction: float | None = None) -> np.ndarray:
+    """Train centres and write the cell-partitioned store; returns the centres.
+
+    ``IVF_FLAT`` uses the given ``nlist``; ``AUTOINDEX`` picks it from the row count."""
+    if index_type == "AUTOINDEX":
+        nlist = auto_nlist(store.count())
+    elif index_type != "IVF_FLAT":
+        raise ValueError(f"unknown index type {index_type!r}")
+    if not nlist:
+        raise ValueError("IVF_FLAT needs nlist")
+    centroids = train_ivf(store, nlist, vec, metric, seed, train_fraction=train_fraction)
+    write_ivf_store(store, centroids, path, vec, metric)
+    return centroids
+
+
 def probe_cells(df: DataFrame, centroids: np.ndarray, nprobe: int, vec: str = "embedding",
                 metric: str = "cosine", name: str = "cells") -> DataFrame:
     """The ``nprobe`` nearest cells per query."""

@@ -420,9 +420,8 @@ def q_topk_cosine_blocked(spark, sf):
 
 def _ivf(spark, sf, nprobe: int):
     q, s = _vectors(spark, sf)
-    centroids = knn.train_ivf(s, IVF_CELLS)
     path = scratch_path(spark, "ivf-store")
-    knn.write_ivf_store(s, centroids, path)
+    centroids = knn.build_ivf_index(s, path, "IVF_FLAT", IVF_CELLS)
     store = spread(spark.read.parquet(path))
     probes = knn.probe_cells(q, centroids, nprobe)
     return knn.knn_topk(probes, store, TOP_K, "cosine", qid="query_id", did="vec_id",
