@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
          .config("spark.checkpoint.dir", str(ckpt))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from veriscope.session import ship_package
+    ship_package(s)
     yield s
     s.stop()
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,9 +41,34 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``veriscope`` importable in every Python worker (the ``--py-files``
+    mechanism): the package is zipped once on the driver and added with
+    ``addPyFile``, so executors fetch it from the driver.  Once per application."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="veriscope-pyfiles-"), "veriscope.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
