@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriscope.llm import decontam, lines, mixing, shards, urls
-from veriscope.session import ship_package
+import public_tokenizers
+from veriscope.llm import decontam, embeddings, jaccard, lines, mixing, quality, shards, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,10 +50,37 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("size") * F.col("repeats")).cast("long").alias("taken"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(_table(spark, sf_dir, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embeddings.link_embeddings(_table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("id", "vec_id")
+
+
+def tokenizer_path() -> str:
+    return os.environ.get("VERISCOPE_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality": op2_quality,
     "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_tokens": op9_tokens,
     "op10_mixing": op10_mixing,
 }

@@ -31,21 +31,41 @@ from veriscope.llm.common import documents, write_table
 from veriscope.session import scratch_path
 
 MAGIC = b"VTOK1\0\0\0"
-HEAD = struct.Struct("<8s32sQ")
+HEAD = "<8s32sQ"
+HEAD_BYTES = struct.calcsize(HEAD)
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u8"), ("at", "<u8")])
-#: White space that surely parts words for the tokenizer, and letters and signs whose
-#: normal form, lower case and byte symbols are context free (Latin blocks).
-PLAIN = 0x250
-CHUNKS, PIECES = 200_000, 200_000
+#: Characters below this have a context-free normal form and a lower case below it.
+PLAIN = 0x100
+#: Entries that a worker remembers in each of two generations.
+CHUNKS, PIECES = 50_000, 250_000
+
+
+class Memory(dict):
+    """Remembers ``make(key)``; a full generation becomes the old one, from which hits are taken over."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class WordEncoder:
     """Encodes texts with a tokenizers file, looking up repeated words in a bounded memory.
 
-    For a tokenizer whose pieces never span white space the ids of a text are those
-    of its space-separated chunks one after the other.  New chunks are encoded by the
-    library as a whole, or, where they hold plain Latin characters only, piece by
-    piece with the library's model (same ids, without its per-call cost).
+    The tokenizer cuts a text into pieces that never span white space, so the ids of a
+    text are those of its pieces, one after the other.  Texts of plain Latin characters
+    are cut by the tokenizer's own rule and each new piece is encoded by the library's
+    model; other texts are cut at spaces and line ends only, and each new chunk is
+    encoded by the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -55,13 +75,13 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        letters = "".join(c for c in map(chr, range(PLAIN)) if c.isalpha())
-        self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+")
-        # What is safe piece by piece: ASCII signs and digits, and lower-case Latin letters.
-        self.plain = re.compile(rf"[!-;=-~{''.join(c for c in letters if c.isalpha() and not c.isascii())}]*")
-        self.symbols = {ord(c): s for c in map(chr, range(33, PLAIN)) if self.plain.fullmatch(c)
+        self.chunks = Memory(self._whole, CHUNKS)
+        self.pieces = Memory(self._piece, PIECES)
+        letters = "".join(c for c in map(chr, range(PLAIN)) if c.isalpha() and c == c.lower())
+        digits = "".join(c for c in map(chr, range(PLAIN)) if c.isnumeric())
+        self.split = re.compile(rf"[{letters}]+|[{digits}]|'(?:[stmd]|re|ve|ll)|[^\s{letters}{digits}]+")
+        self.odd = re.compile(r"[^\t\n\r -~\xa1-\xff]")
+        self.symbols = {ord(c): s for c in map(chr, range(33, PLAIN)) if not self.odd.search(c)
                         for s in [self._symbols(c.lower())] if s}
         self.fast = self._agrees()
 
@@ -71,45 +91,25 @@ class WordEncoder:
     def _agrees(self) -> bool:
         """Piece by piece must equal the library on a probe; another kind of tokenizer takes the slow way."""
         probe = ["Don't", "été's", "a1b22,c", "x''s", "...", "Ñandú!!", "%%ok&&", "'tis", "we'll'd", "ÀÉÎ9ß"]
-        return all(self._piecewise(p) == self._whole([p])[0] for p in probe)
+        return all(self._piecewise(p) == self._whole(p) for p in probe)
+
+    def _whole(self, chunk: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _whole(self, chunks: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.translate(self.symbols))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piecewise(self, chunk: str) -> bytes:
-        out = []
-        for p in self.split.findall(chunk.lower()):
-            ids = self.pieces.get(p)
-            if ids is None:
-                if len(self.pieces) >= PIECES:
-                    self.pieces.clear()
-                ids = np.asarray([t.id for t in self.model.tokenize(p.translate(self.symbols))], "<u4").tobytes()
-                self.pieces[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk.lower())))
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian u32 bytes."""
         if any(s in text for s in self.special):
-            return self._whole([text])[0]
-        known, words = self.chunks, text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) >= CHUNKS:
-            known.clear()
-        odd = []
-        for w in set(words):
-            if w not in known:
-                if self.fast and len(w) < 200 and self.plain.fullmatch(w):
-                    known[w] = self._piecewise(w)
-                else:
-                    odd.append(w)
-        for w, b in zip(odd, self._whole(odd)) if odd else ():
-            known[w] = b
-        return b"".join([known[w] for w in words])
+            return self._whole(text)
+        if self.fast and not self.odd.search(text):
+            return self._piecewise(text)
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -179,7 +179,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
         name = f"data/{uuid.uuid4().hex}.vtok"
         fs, root = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
         with fs.open_output_stream(f"{root}/{name}") as f:
-            f.write(HEAD.pack(MAGIC, hashlib.sha256(words).digest(), len(index)))
+            f.write(struct.pack(HEAD, MAGIC, hashlib.sha256(words).digest(), len(index)))
             f.write(np.array(index, INDEX).tobytes())
             for x in frames:
                 f.write(x)
@@ -222,7 +222,7 @@ def read_tokens(spark, path: str) -> DataFrame:
         for b in batches:
             for name, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 with fs.open_input_stream(f"{at}/{name}") as f:
-                    magic, sha, n = HEAD.unpack(f.read(HEAD.size))
+                    magic, sha, n = struct.unpack(HEAD, f.read(HEAD_BYTES))
                     if magic != MAGIC or sha != hashlib.sha256(words).digest():
                         raise ValueError(f"{name}: not a token file of this dictionary")
                     index = np.frombuffer(f.read(n * INDEX.itemsize), INDEX)
@@ -252,10 +252,10 @@ def read_document(path: str, file: str, row: int) -> np.ndarray:
         words = f.read()
     extra = {"dict_data": zstandard.ZstdCompressionDict(words)} if words else {}
     with fs.open_input_file(f"{at}/{file}") as f:
-        _, _, n = HEAD.unpack(f.read(HEAD.size))
-        f.seek(HEAD.size + row * INDEX.itemsize)
+        _, _, n = struct.unpack(HEAD, f.read(HEAD_BYTES))
+        f.seek(HEAD_BYTES + row * INDEX.itemsize)
         rows = np.frombuffer(f.read(INDEX.itemsize * min(2, n - row)), INDEX)
-        start = HEAD.size + n * INDEX.itemsize
+        start = HEAD_BYTES + n * INDEX.itemsize
         f.seek(start + int(rows["at"][0]))
         frame = f.read(int(rows["at"][1] - rows["at"][0])) if len(rows) > 1 else f.read()
     return np.frombuffer(zstandard.ZstdDecompressor(**extra).decompress(
