@@ -1,4 +1,72 @@
-"""placeholder"""
-def run(spark, sf_dir):
-    raise NotImplementedError
-STAGES = []
+"""Corpus pipeline: documents -> good -> one of each near-duplicate group -> decontaminated -> mixed -> token files.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept;
+stages are written as Parquet to the shared folder and read again, so a lost executor
+costs no earlier stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veriscope.llm import catalog, decontam, jaccard, mixing, quality, tokens
+from veriscope.llm.common import write_table
+from veriscope.session import ship_package
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not listed; rows without a doc_id stay."""
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier takes for good (score of 0.3 or more)."""
+    ship_package(spark)
+    return quality.keep_good(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group of linked documents."""
+    ship_package(spark)
+    joined = jaccard.join_documents(docs)
+    return _without(docs, write_table(joined.where("doc_id <> class_id").select(F.col("doc_id").alias("gone")), "gone"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = decontam.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return _without(docs, write_table(found.where("n_hit > 0").select(F.col("doc_id").alias("gone")).distinct(), "gone"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated as their source's target asks; those taken no times go."""
+    return mixing.repeated(docs, write_table(mixing.mix(docs).select("doc_id", "repeats"), "mixed"))
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files written and read back: (doc_id, start, n_tokens, ids_crc32)."""
+    ship_package(spark)
+    path = tokens.write_tokens(docs, catalog.tokenizer_path())
+    return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+STAGES = [("quality_classifier", quality_filter), ("ngram_jaccard_join", near_duplicates),
+          ("benchmark_decontamination", decontamination), ("mixing_sources", mix_sources),
+          ("token_output", token_output)]
+
+#: The classifier, the MinHash join and the tokenizer are beyond SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = write_table(docs, name)
+    return docs

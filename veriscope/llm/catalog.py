@@ -7,8 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from veriscope.llm import decontam, embeddings, jaccard, lines, mixing, quality, shards, tokens, urls
+from veriscope.llm import decontam, embeddings, jaccard, lines, mixing, quality, shards, suffix, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,12 +58,19 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.dedup_spans(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = embeddings.link_embeddings(_table(spark, sf_dir, "embeddings"))
     return out.withColumnRenamed("id", "vec_id")
 
 
 def tokenizer_path() -> str:
+    """The tokenizers file: $VERISCOPE_TOKENIZER, else the installed public one (present on every node)."""
+    import public_tokenizers
     return os.environ.get("VERISCOPE_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_tokens": op9_tokens,
     "op10_mixing": op10_mixing,

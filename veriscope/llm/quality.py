@@ -144,3 +144,16 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {kind}, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more; no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = Sizer(model.good, model.bad)
+        for b in batches:
+            x = np.array([size(t.as_py() or "") for t in b.column(at)], float).reshape(-1, 3)
+            yield b.filter(pa.array(model.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
