@@ -85,8 +85,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         lambda x: F.transform(F.sequence(x["lo"], x["hi"]), lambda s: F.struct(s.alias("start"), x["len"].alias("len"))))))
     met = write_table(met.groupBy("k1", "k2").agg(places.alias("places")), "met")
 
-    # The documents that met anything, then their windows, each an exact string.
-    texts = base.select(*key, "text").join(met, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    # The documents that met anything, then their windows, each an exact string.  What met grows
+    # with the corpus, so it is never broadcast: the same plan holds at every size.
+    texts = base.select(*key, "text").join(met.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     cand = (texts.select("k1", "k2", words(F.col("text")).alias("ws"), "places")
             .select("k1", "k2", "ws", F.explode("places").alias("p"))
             .where(F.col("p.start") + F.col("p.len") <= F.size("ws"))
