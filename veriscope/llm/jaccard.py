@@ -125,7 +125,7 @@ def _round(rows, named, depth, threshold, words, block_rows, links, seen):
     marks = nodes.select("members", "x1", "x2")
     new = nodes if seen is None else write_table(nodes.join(seen, ["members", "x1", "x2"], "left_anti"), "nodes")
     seen = marks if seen is None else seen.unionByName(marks)
-    members = write_table(tries.join(new.select("tree", "prefix", "members"), ["tree", "prefix"])
+    members = write_table(tries.join(new.select("tree", "prefix", "members").hint("merge"), ["tree", "prefix"])
                           .select("tree", "prefix", "members", "rep"), "members")
     wanted = write_table(members.select("rep").distinct().join(named, "rep"), "wanted")
 
@@ -134,7 +134,8 @@ def _round(rows, named, depth, threshold, words, block_rows, links, seen):
             sets = [s.tobytes() for s in shingle_sets(b.column(1), words)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["rep", "grams"])
 
-    texts = rows.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # Both sides of these joins grow with the corpus: never broadcast, one plan at every size.
+    texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     grams = texts.mapInArrow(cut, "rep long, grams binary").dropDuplicates(["rep"])
     full = write_table(wanted.join(grams, "rep"), "grams")
 
@@ -145,7 +146,7 @@ def _round(rows, named, depth, threshold, words, block_rows, links, seen):
                          "own", (F.col("own") == F.col("other")).alias("same"))
     # About 1,000 rows a pack: many small meetings share a task's call, a large one fills it.
     packs = max(1, dealt.count() // 1000)
-    packed = dealt.join(full, "rep").withColumn("pack", F.pmod("meeting", F.lit(packs)))
+    packed = dealt.join(full.hint("merge"), "rep").withColumn("pack", F.pmod("meeting", F.lit(packs)))
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         out, histogram = [], np.zeros(BINS, "i8")
