@@ -240,7 +240,7 @@ def read_tokens(spark, path: str) -> DataFrame:
                             "ids": pa.array(ids, pa.binary()),
                             "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())})
 
-    spread = files.repartitionByRange(F.col("file"))
+    spread = files.repartition(max(1, files.count()), "file")      # one row a file; a number of its own is not coalesced
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
 
 
