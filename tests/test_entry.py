@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from veriscope.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -29,7 +30,7 @@ def _norm(df):
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and "match_report" in q
-    assert set(q) - set(o) == {"ivf_probe", "ml_topic"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"ivf_probe", "ml_topic"}
     assert len(q) >= 43
 
 

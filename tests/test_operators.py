@@ -86,3 +86,46 @@ def test_verdicts_filter(spark):
                                    (2, "sea not rising", "sea rising")], "id int, claim string, content string")
     assert sorted(r.id for r in verdicts(pairs).collect()) == [0, 2]
     assert sorted(r.id for r in verdicts(pairs, print_neutral=True).collect()) == [0, 1, 2]
+
+
+def test_similarity_has_no_thousands_separator(spark):
+    from pyspark.sql import functions as F
+
+    from veriscope.functions.vectors import format_prob, format_similarity
+    row = spark.createDataFrame([(1234.5678, 0.125)], "s double, p double").select(
+        format_similarity(F.col("s")), format_prob(F.col("p"))).first()
+    assert tuple(row) == ("1234.568", "0.12")
+
+
+def test_two_column_batch_scorer_and_embedder_run_once_per_row(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from veriscope.operators.models import batch_scorer
+    from veriscope.operators.verify import verdicts
+    from veriscope.sources.store import embed_missing
+    pairs, embedded = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def score(model, claims, evidence):
+        pairs.add(len(claims))
+        return pd.DataFrame({"label": ["SUPPORTS"] * len(claims), "prob": [0.9] * len(claims)})
+
+    df = spark.createDataFrame([(i, f"c{i}", f"e{i}") for i in range(50)], "id long, claim string, content string")
+    out = verdicts(df, scorer=batch_scorer(dict, score, "label string, prob double", "pairs", batch_size=8))
+    assert len(out.collect()) == 50 and pairs.value == 50
+
+    @F.pandas_udf("array<float>")
+    def vector(texts: pd.Series) -> pd.Series:
+        embedded.add(len(texts))
+        return texts.map(lambda t: [1.0])
+
+    rows = spark.createDataFrame([(i, "t", None if i < 10 else [0.5]) for i in range(100)], "id long, t string, embedding array<float>")
+    assert len(embed_missing(rows, vector, F.col("t")).where("embedding[0] = 1.0").select("id").collect()) == 10
+    assert embedded.value <= 20
+
+
+def test_resolve_input_takes_one_page_per_url(spark):
+    from veriscope.operators.filters import resolve_input
+    inputs = spark.createDataFrame([(1, "http://a"), (2, "plain"), (3, "http://b")], "id long, text string")
+    pages = spark.createDataFrame([("http://a", "<body>x</body>"), ("http://a", "<body>y</body>")], "url string, html string")
+    assert sorted(r["id"] for r in resolve_input(inputs, pages).collect()) == [1, 2, 3]

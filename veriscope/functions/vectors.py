@@ -65,10 +65,10 @@ def cosine_expr(a, b) -> Column:
 
 
 def format_similarity(score) -> Column:
-    """similarity to 3 decimals."""
-    return F.format_number(_c(score), 3)
+    """similarity to 3 decimals, ties to even, without thousands separators."""
+    return F.translate(F.format_number(_c(score), 3), ",", "")
 
 
 def format_prob(prob) -> Column:
-    """probability to 2 decimals."""
-    return F.format_number(_c(prob), 2)
+    """probability to 2 decimals, ties to even."""
+    return F.translate(F.format_number(_c(prob), 2), ",", "")

@@ -141,8 +141,12 @@ def resolve_input(inputs: DataFrame, pages: DataFrame, text_col: str = "text",
     branches, so plain texts never become join keys (no hot null/text key)."""
     is_url = F.coalesce(F.col(text_col).startswith("http"), F.lit(False))
     plain = inputs.filter(~is_url).withColumn(out, F.col(text_col))
-    page_text = pages.select(F.col(url_col).alias("_url"), article_text(F.col(html_col)).alias("_page_text"))
+    asked = inputs.filter(is_url).select(F.col(text_col).alias("_url")).distinct()
+    # One page per URL (the least HTML of repeated ones); text is extracted for asked pages only.
+    page = (pages.select(F.col(url_col).alias("_url"), F.col(html_col).alias("_html")).join(asked, "_url", "left_semi")
+            .groupBy("_url").agg(F.min("_html").alias("_html"))
+            .select("_url", article_text(F.col("_html")).alias("_page_text")))
     urls = (inputs.filter(is_url)
-            .join(page_text, F.col(text_col) == F.col("_url"), "left")
+            .join(page, F.col(text_col) == F.col("_url"), "left")
             .withColumn(out, F.col("_page_text")).drop("_url", "_page_text"))
     return plain.unionByName(urls)

@@ -120,7 +120,7 @@ class _TopK:
 
 def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                           qid: str, did: str, qvec: str, dvec: str,
-                          probes: str | None, cell: str | None, scan_tasks: int | None = None) -> DataFrame:
+                          probes: str | None, cell: str | None) -> DataFrame:
     spark = store.sparkSession
     qcols = [F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v")]
     if probes:
@@ -164,15 +164,7 @@ def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric:
         scols.append(F.col(cell).cast("int").alias("c"))
         # Only cells some query probes are read (partition filter on a cell-partitioned store).
         store = store.filter(F.col(cell).isin(sorted(probe_map)))
-    return _cap_tasks(store.select(*scols), scan_tasks).mapInPandas(local_topk, CANDIDATE_SCHEMA)
-
-
-def _cap_tasks(df: DataFrame, scan_tasks: int | None) -> DataFrame:
-    """Each scan task emits up to k candidates per query, so many small splits are
-    merged (narrow ``coalesce``, no shuffle) into at most ``scan_tasks`` tasks."""
-    if not scan_tasks:
-        scan_tasks = df.sparkSession.sparkContext.defaultParallelism * 4
-    return df.coalesce(scan_tasks) if df.rdd.getNumPartitions() > scan_tasks else df
+    return store.select(*scols).mapInPandas(local_topk, CANDIDATE_SCHEMA)
 
 
 def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
@@ -232,8 +224,7 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
              qid: str = "claim_id", did: str = "doc_id", qvec: str = "embedding",
              dvec: str = "embedding", probes: str | None = None, cell: str | None = None,
              method: str = "auto", broadcast_budget_bytes: int = 256 << 20,
-             max_store_rows: int = 200_000, dim: int | None = None,
-             scan_tasks: int | None = None) -> DataFrame:
+             max_store_rows: int = 200_000, dim: int | None = None) -> DataFrame:
     """Exact (or IVF when ``probes``/``cell`` are given) top-k store rows per query.
 
     The query side is broadcast only when its estimated size (rows x dim) fits the
@@ -254,7 +245,7 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
     if method == "auto":
         method = "broadcast" if est <= broadcast_budget_bytes else "blocked"
     if method == "broadcast":
-        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell, scan_tasks)
+        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell)
     elif method == "blocked":
         max_query_rows = max(1, broadcast_budget_bytes // (dim * 8 + 64))
         cand = _blocked_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell,
@@ -332,8 +323,8 @@ def write_ivf_store(store: DataFrame, centroids: np.ndarray, path: str, vec: str
 
 
 def auto_nlist(n_rows: int) -> int:
-    """Cell count chosen from the store size (about 4 sqrt(n), between 1 and 65536)."""
-    return int(min(65536, max(1, round(4 * math.sqrt(max(n_rows, 1))))))
+    """Cell count chosen from the store size (about 4 sqrt(n), at least 1)."""
+    return max(1, round(4 * math.sqrt(max(n_rows, 1))))
 
 
 def build_ivf_index(store: DataFrame, path: str, index_type: str = "IVF_FLAT", nlist: int | None = None,

@@ -25,26 +25,29 @@ def default_batch_size(accelerator: bool) -> int:
     return BATCH_SIZE_ACCELERATOR if accelerator else BATCH_SIZE_CPU
 
 
-def batch_scorer(load: Callable[[], object], score: Callable[[object, pd.Series], pd.DataFrame],
+def batch_scorer(load: Callable[[], object], score: Callable[..., pd.DataFrame],
                  return_type: str, name: str, batch_size: int | None = None) -> Callable[..., Column]:
-    """Wrap ``score(model, texts) -> DataFrame`` as a Column function.
+    """Wrap ``score(model, *texts) -> DataFrame`` as a function of one or more columns.
 
-    ``load`` runs once per worker process (cached by ``name``); ``batch_size`` splits
-    each Arrow batch into model calls of that many rows.
+    ``load`` runs once per worker process (cached by ``name`` and the loader's own
+    name); ``batch_size`` splits each Arrow batch into model calls of that many rows.
+    The function is marked nondeterministic, so plans never evaluate it twice.
     """
+    key = f"{name}/{load.__module__}.{load.__qualname__}"
+
     @F.pandas_udf(return_type)
-    def _udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = _LOADED.get(name)
+    def _udf(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        model = _LOADED.get(key)
         if model is None:
-            model = _LOADED[name] = load()
+            model = _LOADED[key] = load()
         for texts in batches:
-            if batch_size and len(texts) > batch_size:
-                parts = [score(model, texts.iloc[i:i + batch_size]) for i in range(0, len(texts), batch_size)]
-                yield pd.concat(parts, ignore_index=True)
-            else:
-                yield score(model, texts).reset_index(drop=True)
+            rows = len(texts[0])
+            step = batch_size or max(rows, 1)
+            parts = [score(model, *[t.iloc[i:i + step] for t in texts]) for i in range(0, max(rows, 1), step)]
+            yield pd.concat(parts, ignore_index=True)
 
-    return lambda col: _udf(F.col(col) if isinstance(col, str) else col)
+    marked = _udf.asNondeterministic()
+    return lambda *cols: marked(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
 def partition_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,

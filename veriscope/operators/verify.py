@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from veriscope.constants import VERDICT_THRESHOLD
 from veriscope.functions.scoring import pair_score
-from veriscope.operators.filters import verdict_predicate
+from veriscope.operators.filters import score_once, verdict_predicate
 
 
 def classify_pairs(pairs: DataFrame, claim_col: str = "claim", evidence_col: str = "content",
                    scorer=None) -> DataFrame:
     """U3 over already-flat pair rows (J8 is the match table itself)."""
     scorer = scorer or pair_score
-    return pairs.withColumn("_v", scorer(F.col(claim_col), F.col(evidence_col))).select(
+    return score_once(pairs, scorer(F.col(claim_col), F.col(evidence_col)), "_v").select(
         "*", F.col("_v.label").alias("label"), F.col("_v.prob").alias("prob")).drop("_v")
 
 

@@ -73,7 +73,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here.  When
-    it is unset (local runs, tests) a private folder is created and registered.
+    it is unset, a local run gets a private folder and any other master an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -82,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="veriscope-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -49,8 +49,11 @@ def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str =
 
 def embed_missing(df: DataFrame, embed: Callable[[Column], Column], text: Column,
                   vec: str = "embedding") -> DataFrame:
-    """Compute embeddings only where missing (existing ones are kept)."""
-    return df.withColumn(vec, F.when(F.col(vec).isNull(), embed(text)).otherwise(F.col(vec)))
+    """Compute embeddings only where missing (existing ones are kept).
+
+    Two branches, because a Python embedder inside ``when`` would run on every row."""
+    missing = df.filter(F.col(vec).isNull()).withColumn(vec, embed(text).cast(df.schema[vec].dataType))
+    return df.filter(F.col(vec).isNotNull()).unionByName(missing)
 
 
 class EvidenceStore:
