@@ -41,6 +41,7 @@ def batch_scorer(load: Callable[[], object], score: Callable[..., pd.DataFrame],
         if model is None:
             model = _LOADED[key] = load()
         for texts in batches:
+            texts = texts if isinstance(texts, tuple) else (texts,)     # Spark passes a single column bare
             rows = len(texts[0])
             step = batch_size or max(rows, 1)
             parts = [score(model, *[t.iloc[i:i + step] for t in texts]) for i in range(0, max(rows, 1), step)]
