@@ -74,14 +74,53 @@ def test_partition_map(spark):
     assert out.count() == 100 and out.agg(F.sum("n")).first()[0] == 300
 
 
-def test_insert_if_absent_paths_agree(spark):
+def test_insert_if_absent_agrees_whether_broadcast_or_shuffled(spark):
     from veriscope.sources.store import insert_if_absent
     new = spark.createDataFrame([(f"k{i % 50}", i) for i in range(200)], "doc_key string, doc_id long")
     old = spark.createDataFrame([(f"k{i}",) for i in range(0, 80, 3)], "doc_key string")
-    a = insert_if_absent(new, old, broadcast_keys=10_000)          # broadcast semi-join path
-    b = insert_if_absent(new, old, broadcast_keys=0)               # shuffled anti-join path
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert a.count() == 200 - 4 * 17
+    a = sorted(insert_if_absent(new, old).collect())
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        b = sorted(insert_if_absent(new, old).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert a == b and len(a) == 200 - 4 * 17
+
+
+def test_write_documents_runs_its_input_once(spark, out_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    store = EvidenceStore(spark, out_dir + "/once", recreate=True)
+    store.write_documents(docs(spark, [(i, f"stored {i}", "A") for i in range(5)]))
+    batch = docs(spark, [(100 + i, f"new {i}", "A") for i in range(40)]).withColumn("content", counted("content"))
+    store.write_documents(batch)
+    assert seen.value == 40 and store.read().count() == 45
+
+
+def test_index_opened_again_gives_the_same_rows(spark, out_dir):
+    from veriscope.operators import knn
+    from veriscope.plans import jobs
+    sea = "sea level ice melts river warm storm coast tide glacier wind".split()
+    store = EvidenceStore(spark, out_dir + "/flat", recreate=True)
+    store.write_documents(docs(spark, [(i, " ".join(sea[(i * 7 + j * j) % 11] for j in range(i % 5 + 3)) + f" {i}", "A")
+                                        for i in range(60)]))
+    claims = spark.createDataFrame([(i, f"the {sea[i]} {sea[i + 2]}") for i in range(9)], "claim_id long, claim string")
+    made = knn.build_ivf_index(store.read(), out_dir + "/ivf", "IVF_FLAT", 4)
+    opened, centres = knn.open_ivf_index(spark, out_dir + "/ivf")
+    assert (made == centres).all()
+
+    def rows(df):
+        return sorted((r.claim_id, r.rank, r.doc_id, r.score) for r in df.collect())
+    exact = rows(jobs.find_evidence(claims, store.read(), 5))
+    assert rows(jobs.find_evidence(claims, opened, 5, centroids=centres, nprobe=4)) == exact
+    few = jobs.find_evidence(claims, opened, 5, centroids=centres, nprobe=1)
+    assert 0 < few.count() <= 45
 
 
 def test_streamed_store_equals_batch_store(spark, out_dir):

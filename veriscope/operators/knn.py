@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,8 +69,9 @@ def merge_topk(best_s: np.ndarray, best_d: np.ndarray, s: np.ndarray, d: np.ndar
         kth = sel.min(axis=1)
         n_all = (cs == kth[:, None]).sum(axis=1)
         n_sel = (sel == kth[:, None]).sum(axis=1)
-        for r in np.nonzero(n_all != n_sel)[0]:
-            idx[r] = np.lexsort((cd[r], -cs[r]))[:k]
+        tied = np.flatnonzero(n_all != n_sel)
+        if len(tied):
+            idx[tied] = np.lexsort((cd[tied], -cs[tied]), axis=1)[:, :k]
         sel_s = np.take_along_axis(cs, idx, 1)
         sel_d = np.take_along_axis(cd, idx, 1)
         o2 = np.lexsort((sel_d, -sel_s), axis=1)
@@ -224,11 +225,13 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
              qid: str = "claim_id", did: str = "doc_id", qvec: str = "embedding",
              dvec: str = "embedding", probes: str | None = None, cell: str | None = None,
              method: str = "auto", broadcast_budget_bytes: int = 256 << 20,
-             max_store_rows: int = 200_000, dim: int | None = None) -> DataFrame:
+             max_store_rows: int | None = None, dim: int | None = None,
+             group_budget_bytes: int = 128 << 20) -> DataFrame:
     """Exact (or IVF when ``probes``/``cell`` are given) top-k store rows per query.
 
     The query side is broadcast only when its estimated size (rows x dim) fits the
-    budget; otherwise the blocked plan is used.  Returns ``(qid, did, score, rank)``
+    budget; otherwise the blocked plan is used, whose store groups take at most
+    ``group_budget_bytes`` of vectors (or ``max_store_rows`` rows).  Returns ``(qid, did, score, rank)``
     with the caller's column names.
     """
     if metric not in ("cosine", "dot_product"):
@@ -248,6 +251,7 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
         cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell)
     elif method == "blocked":
         max_query_rows = max(1, broadcast_budget_bytes // (dim * 8 + 64))
+        max_store_rows = max_store_rows or max(1, group_budget_bytes // (dim * 8 + 64))
         cand = _blocked_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell,
                                    max_query_rows, max_store_rows)
     else:
@@ -329,10 +333,13 @@ def auto_nlist(n_rows: int) -> int:
 
 def build_ivf_index(store: DataFrame, path: str, index_type: str = "IVF_FLAT", nlist: int | None = None,
                     vec: str = "embedding", metric: str = "cosine", seed: int = 7,
-                    train_fraction: float | None = None) -> np.ndarray:
-    """Train centres and write the cell-partitioned store; returns the centres.
+                    train_fraction: float | None = None, centroids: np.ndarray | None = None) -> np.ndarray:
+    """Train centres and write the cell-partitioned store, centres beside it; returns the centres.
 
-    ``IVF_FLAT`` uses the given ``nlist``; ``AUTOINDEX`` picks it from the row count."""
+    ``IVF_FLAT`` uses the given ``nlist``; ``AUTOINDEX`` picks it from the row count;
+    given ``centroids`` are taken as they are.  ``open_ivf_index`` opens the index again."""
+    if centroids is not None:
+        return _write_index(store, np.asarray(centroids, np.float64), path, vec, metric)
     if index_type == "AUTOINDEX":
         nlist = auto_nlist(store.count())
     elif index_type != "IVF_FLAT":
@@ -340,10 +347,27 @@ def build_ivf_index(store: DataFrame, path: str, index_type: str = "IVF_FLAT", n
     if not nlist:
         raise ValueError("IVF_FLAT needs nlist")
     centroids = train_ivf(store, nlist, vec, metric, seed, train_fraction=train_fraction)
+    return _write_index(store, centroids, path, vec, metric)
+
+
+def _centres_path(path: str) -> str:
+    return f"{path.rstrip('/')}-centres"
+
+
+def _write_index(store: DataFrame, centroids: np.ndarray, path: str, vec: str, metric: str) -> np.ndarray:
     write_ivf_store(store, centroids, path, vec, metric)
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]           # nlist rows
+    store.sparkSession.createDataFrame(rows, "cell int, centre array<double>").write.mode("overwrite").parquet(
+        _centres_path(path))
     return centroids
 
 
+def open_ivf_index(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
+    """(store, centres) of an index written before; nlist centres come to the driver."""
+    rows = spark.read.parquet(_centres_path(path)).orderBy("cell").collect()
+    return spark.read.parquet(path), np.array([r["centre"] for r in rows], np.float64)
+
+
 def probe_cells(df: DataFrame, centroids: np.ndarray, nprobe: int, vec: str = "embedding",
                 metric: str = "cosine", name: str = "cells") -> DataFrame:
     """The ``nprobe`` nearest cells per query."""

@@ -32,7 +32,7 @@ from veriscope.operators.models import apply_topic_model, fit_topic_model, parti
 from veriscope.plans import jobs
 from veriscope.plans import sql as S
 from veriscope.plans.views import (
-    embedded_store, invert_text, load, papers_view, raw_works, store_documents, works_view,
+    document_rows, embedded_store, invert_text, load, papers_view, raw_works, store_documents, works_view,
 )
 from veriscope.schemas import CLAIM_RECORD, CORPUS_RECORD
 from veriscope.session import scratch_path
@@ -418,11 +418,19 @@ def q_topk_cosine_blocked(spark, sf):
                         max_store_rows=256).select("query_id", "vec_id", "rank", "score")
 
 
-def _ivf(spark, sf, nprobe: int):
+def _label_means(vectors):
+    """One centre per label: the mean vector, to 6 decimals (one row per label)."""
+    at = vectors.where("label is not null").select("label", F.posexplode("embedding").alias("i", "x"))
+    means = at.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x"))
+    rows = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("c")).orderBy("label").collect()
+    return [[p["x"] for p in r["c"]] for r in rows]
+
+
+def _ivf(spark, sf, nprobe: int, centres=None):
     q, s = _vectors(spark, sf)
     path = scratch_path(spark, "ivf-store")
-    centroids = knn.build_ivf_index(s, path, "IVF_FLAT", IVF_CELLS)
-    store = spread(spark.read.parquet(path))
+    knn.build_ivf_index(s, path, "IVF_FLAT", IVF_CELLS, centroids=_label_means(s) if centres else None)
+    store, centroids = knn.open_ivf_index(spark, path)
     probes = knn.probe_cells(q, centroids, nprobe)
     return knn.knn_topk(probes, store, TOP_K, "cosine", qid="query_id", did="vec_id",
                         probes="cells", cell="cell").select("query_id", "vec_id", "rank", "score")
@@ -433,9 +441,24 @@ def q_ivf_full(spark, sf):
     return _ivf(spark, sf, IVF_CELLS)
 
 
-@query("ivf_probe")
+_IVF_PROBE_SQL = f"""
+WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+           WHERE label IS NOT NULL),
+c AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, round(avg(x), 6) AS x FROM x GROUP BY ALL) GROUP BY label),
+cells AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, c FROM c),
+e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+near AS (SELECT e.*, cell, row_number() OVER (PARTITION BY vec_id ORDER BY
+         list_dot_product(c, c) - 2 * list_dot_product(v, c) / sqrt(list_dot_product(v, v)), cell) AS nth FROM e, cells),
+p AS (SELECT q.vec_id AS query_id, s.vec_id, round({S.cosine("q.v", "s.v")}, 6) AS score
+      FROM near q JOIN near s ON q.cell = s.cell AND q.nth <= {IVF_PROBES} AND s.nth = 1 WHERE q.label = 0)
+SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, score
+FROM p QUALIFY rank <= {TOP_K}"""
+
+
+@query("ivf_probe", _IVF_PROBE_SQL)
 def q_ivf_probe(spark, sf):
-    return _ivf(spark, sf, IVF_PROBES)
+    """The nearest two cells only, around given centres (the labels' mean vectors)."""
+    return _ivf(spark, sf, IVF_PROBES, centres=True)
 
 
 # ----------------------------------------------------------------------------- evidence pipeline
@@ -500,6 +523,31 @@ def q_find_evidence(spark, sf):
             .select("claim_id", "conv_id", "turn", "pos", "rank", "doc_id", "score"))
 
 
+def _indexed_store(spark, sf):
+    """The documents' store filed by IVF cells and opened again: (store, centres)."""
+    path = scratch_path(spark, "ivf-documents")
+    knn.build_ivf_index(embedded_store(spark, sf), path, "IVF_FLAT", IVF_CELLS)
+    return knn.open_ivf_index(spark, path)
+
+
+@query("match_report_ivf", _REPORT_SQL)
+def q_match_report_ivf(spark, sf):
+    """C11 through a reopened index; all cells probed, so it equals the exact report."""
+    store, centroids = _indexed_store(spark, sf)
+    return jobs.match_report(jobs.find_evidence(_benchmark_claims(spark, sf), store, TOP_K, centroids=centroids,
+                                                nprobe=len(centroids)))
+
+
+@query("store_top_k_batch", f"""
+WITH {_store_cte()}, {_article_claims_sql('benchmark', ['item_id'], True)}, {_matches_sql(TOP_K)}
+SELECT claim_id, doc_id, rank, score, content, title FROM m""")
+def q_store_top_k_batch(spark, sf):
+    store = EvidenceStore(spark, scratch_path(spark, "store"), recreate=True)
+    store.write_documents(document_rows(spark, sf))
+    return store.top_k_batch(_benchmark_claims(spark, sf), TOP_K).select(
+        "claim_id", "doc_id", "rank", "score", "content", F.col("meta.title").alias("title"))
+
+
 _VERDICT_LABEL, _VERDICT_PROB = S.pair("m.claim", "m.content")
 
 
@@ -575,6 +623,13 @@ def q_topk_one(spark, sf):
     return knn.topk_single(store, list(qv), TOP_K, "cosine").select("doc_id", "rank", "score")
 
 
+@query("store_top_k", ORACLES["topk_one"])
+def q_store_top_k(spark, sf):
+    store = EvidenceStore(spark, scratch_path(spark, "store"), recreate=True)
+    store.write_documents(document_rows(spark, sf))
+    return store.top_k(TOPK_PHRASE, TOP_K).select("doc_id", "rank", "score")
+
+
 # ----------------------------------------------------------------------------- streaming / UDF surface
 
 @query("stream_ingest", "SELECT DISTINCT sha256(coalesce(text, '')) AS doc_key, length(coalesce(text, '')) AS n_chars "
@@ -584,8 +639,8 @@ def q_stream_ingest(spark, sf):
     docs = load(spark, sf, "documents")
     landing = scratch_path(spark, "landing")
     # Two overlapping landings of the whole table, in differently cut files.
-    docs.repartition(3).write.mode("overwrite").json(f"{landing}/a")
-    docs.orderBy(F.col("doc_id").desc()).repartition(2).write.mode("overwrite").json(f"{landing}/b")
+    docs.write.json(f"{landing}/a")
+    docs.repartition("doc_id").write.json(f"{landing}/b")
     store = EvidenceStore(spark, scratch_path(spark, "stream-store"), recreate=True)
 
     def to_docs(batch):
@@ -595,7 +650,7 @@ def q_stream_ingest(spark, sf):
                                      F.lit("").alias("open_alex_id")).alias("meta"))
 
     ingest_pages(spark, f"{landing}/*", docs.schema, store, to_docs, scratch_path(spark, "stream-ckpt"),
-                 max_files_per_trigger=2)
+                 max_files_per_trigger=32)
     return store.read().select("doc_key", F.length(F.coalesce("content", F.lit(""))).cast("long").alias("n_chars"))
 
 
@@ -609,11 +664,11 @@ def q_stream_ingest_works(spark, sf):
     from veriscope.streaming.ingest import ingest_pages
     raw = raw_works(spark, sf)
     landing = scratch_path(spark, "work-pages")
-    raw.coalesce(8).write.mode("overwrite").json(f"{landing}/first")
-    raw.repartition(3).write.mode("overwrite").json(f"{landing}/again")
+    raw.write.json(f"{landing}/first")
+    raw.repartition("id").write.json(f"{landing}/again")
     store = EvidenceStore(spark, scratch_path(spark, "works-store"), recreate=True)
     ingest_pages(spark, f"{landing}/*", RAW_WORK, store, lambda b: to_documents(flatten_works(b)),
-                 scratch_path(spark, "work-pages-ckpt"), max_files_per_trigger=8)
+                 scratch_path(spark, "work-pages-ckpt"), max_files_per_trigger=32)
     return store.read().select("doc_key", F.length("content").cast("long").alias("n_chars"))
 
 
@@ -627,7 +682,7 @@ def _count_words(pdf):
        "FROM documents")
 def q_partition_map(spark, sf):
     return partition_map(load(spark, sf, "documents").select("doc_id", "text"), _count_words,
-                         "doc_id long, n_words long", n=8)
+                         "doc_id long, n_words long")
 
 
 @query("ml_topic")

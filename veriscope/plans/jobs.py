@@ -18,6 +18,7 @@ from veriscope.operators.export import claim_records, corpus_from_abstracts, cor
 from veriscope.operators.filters import search_by_field, to_documents, topic_gate
 from veriscope.operators.numbering import dense_index
 from veriscope.operators.verify import verdicts
+from veriscope.sources.scan import written
 from veriscope.sources.store import EvidenceStore
 from veriscope.sources.works import append_table, flatten_works, read_works_csv, read_works_pages, write_works
 
@@ -42,49 +43,56 @@ def enrich_corpus(spark: SparkSession, works_csv: str, papers: DataFrame, out: s
 
 
 def index_abstracts(works: DataFrame, store: EvidenceStore, gate: bool = True,
-                    keep: list[str] | None = None) -> None:
+                    keep: list[str] | None = None, scorer=None) -> None:
     """Works -> documents -> (topic gate) -> store (dedupe, skip stored, embed)."""
     docs = to_documents(works, keep=keep)
     if gate:
-        docs = topic_gate(docs, "content").drop("topic")
+        docs = topic_gate(docs, "content", scorer).drop("topic")
     store.write_documents(docs)
 
 
-def index_claims(works: DataFrame, store: EvidenceStore, threshold: float, gate: bool = True) -> None:
+def index_claims(works: DataFrame, store: EvidenceStore, threshold: float, gate: bool = True,
+                 scorer=None, claim_scorer=None) -> None:
     """Works -> claims per work (C4) -> joined back (J1) -> claim documents -> store."""
-    claims = claims_per_doc(extract_claims(works, "abstract", ["id"], threshold), "id")
+    claims = claims_per_doc(extract_claims(works, "abstract", ["id"], threshold, claim_scorer), "id")
     docs = claim_documents(attach_claims(works, claims, "id")).select("content", "meta")
     if gate:
-        docs = topic_gate(docs, "content").drop("topic")
+        docs = topic_gate(docs, "content", scorer).drop("topic")
     store.write_documents(docs)
 
 
 def article_claims(articles: DataFrame, id_cols: list[str], text_col: str = "text",
-                   threshold: float = CLAIM_THRESHOLD_TEXT, gate: bool = True) -> DataFrame:
+                   threshold: float = CLAIM_THRESHOLD_TEXT, gate: bool = True,
+                   scorer=None, claim_scorer=None) -> DataFrame:
     """C6 (+P12): claims of many articles; claim_id dense from 0 in (article, position) order."""
-    src = topic_gate(articles, text_col).drop("topic") if gate else articles
-    claims = extract_claims(src, text_col, id_cols, threshold)
+    src = topic_gate(articles, text_col, scorer).drop("topic") if gate else articles
+    claims = extract_claims(src, text_col, id_cols, threshold, claim_scorer)
     return dense_index(claims.withColumnRenamed("sentence", "claim"), id_cols + ["pos"], "claim_id")
 
 
 def find_evidence(claims: DataFrame, store: DataFrame, k: int = TOP_K, metric: str = "cosine",
-                  dim: int = HASH_DIM, broadcast_hits_rows: int = 2_000_000, **knn_kw) -> DataFrame:
-    """Top-k store documents per claim, with claim text, content and meta."""
-    q = claims.select("claim_id", hash_embedding(F.col("claim"), dim).alias("embedding"))
-    hits = knn.knn_topk(q, store.select("doc_id", "embedding"), k, metric, qid="claim_id", did="doc_id",
-                        dim=dim, **knn_kw)
-    matched = attach_content(hits, store, claims.count() * k, broadcast_hits_rows)
-    return matched.join(claims.select("claim_id", "claim"), "claim_id")
-
-
-def attach_content(hits: DataFrame, store: DataFrame, max_hits: int, broadcast_hits_rows: int = 2_000_000,
-                   did: str = "doc_id") -> DataFrame:
-    """Content and meta of the matched documents.  The hits (ids, score, rank; at
-    most ``max_hits`` rows) are broadcast into the store scan when that bound is
-    small, so the store itself is never shuffled for this join."""
-    if max_hits <= broadcast_hits_rows:
-        hits = F.broadcast(hits)
-    return store.select(did, "content", "meta").join(hits, did)
+                  dim: int = HASH_DIM, embed=None, centroids=None, nprobe: int | None = None,
+                  **knn_kw) -> DataFrame:
+    """Top-k store documents per claim, with claim text, content and meta.
+
+    Claims are embedded (``embed``: Column -> Column) once and written.  With
+    ``centroids`` and ``nprobe``, ``store`` is an IVF store and only the probed cells
+    are read."""
+    embed = embed or (lambda c: hash_embedding(c, dim))
+    q = written(claims.select("claim_id", "claim", embed(F.col("claim")).alias("embedding")), "claims")
+    cols, wanted = ["doc_id", "embedding"], q
+    if centroids is not None:
+        wanted = written(knn.probe_cells(q, centroids, nprobe or len(centroids), metric=metric), "probes")
+        cols, knn_kw = [*cols, "cell"], {"probes": "cells", "cell": "cell", **knn_kw}
+    hits = knn.knn_topk(wanted, store.select(*cols), k, metric, qid="claim_id", did="doc_id", dim=dim, **knn_kw)
+    return attach_content(hits, store).join(q.select("claim_id", "claim"), "claim_id")
+
+
+def attach_content(hits: DataFrame, store: DataFrame, did: str = "doc_id") -> DataFrame:
+    """Content and meta of the matched documents.  The hits are written first, so that
+    Spark knows their size: few are broadcast into the store scan, many are shuffled,
+    with skew handling for a document that very many claims match."""
+    return store.select(did, "content", "meta").join(written(hits, "hits"), did)
 
 
 def match_report(matches: DataFrame) -> DataFrame:
@@ -96,9 +104,9 @@ def match_report(matches: DataFrame) -> DataFrame:
 
 
 def verify_claims(matches: DataFrame, threshold: float = VERDICT_THRESHOLD,
-                  print_neutral: bool = False) -> DataFrame:
+                  print_neutral: bool = False, scorer=None) -> DataFrame:
     """(claim, evidence) pairs -> pair classifier -> P14."""
-    return verdicts(matches, "claim", "content", threshold, print_neutral)
+    return verdicts(matches, "claim", "content", threshold, print_neutral, scorer)
 
 
 def export_abstracts(claims: DataFrame, store: DataFrame, k: int = TOP_K_EXPORT, **kw):

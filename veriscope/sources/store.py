@@ -17,6 +17,7 @@ from veriscope.constants import HASH_DIM, TOP_K
 from veriscope.functions.text import doc_key, embed_input
 from veriscope.functions.vectors import hash_embedding
 from veriscope.operators import knn
+from veriscope.sources.scan import written
 
 
 def dedupe_documents(docs: DataFrame, key: str = "doc_key", id_col: str = "doc_id") -> DataFrame:
@@ -28,23 +29,16 @@ def dedupe_documents(docs: DataFrame, key: str = "doc_key", id_col: str = "doc_i
     return docs.groupBy(key).agg(best).select(key, "_b.*")
 
 
-def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str = "doc_key",
-                     broadcast_keys: int = 2_000_000, n_keys_bound: int | None = None) -> DataFrame:
+def insert_if_absent(new_docs: DataFrame, existing: DataFrame | None, key: str = "doc_key") -> DataFrame:
     """Rows whose key is not stored yet.
 
-    When the new batch has at most ``broadcast_keys`` keys (``n_keys_bound``, e.g.
-    its input row count, or counted here), they are broadcast to the store's key
-    scan (a semi-join that keeps the store in place) and the batch is then
-    anti-joined against the few matching keys.  Larger batches use a plain
-    shuffled anti-join."""
+    The batch's keys are semi-joined against the store's key column, and the batch is
+    anti-joined against those found.  Spark broadcasts either side only where its
+    measured size is under ``autoBroadcastJoinThreshold``, and shuffles otherwise."""
     if existing is None:
         return new_docs
-    keys = new_docs.select(key).distinct()
-    bound = n_keys_bound if n_keys_bound is not None else keys.count()
-    if bound <= broadcast_keys:
-        present = existing.select(key).join(F.broadcast(keys), key, "left_semi")
-        return new_docs.join(F.broadcast(present), key, "left_anti")
-    return new_docs.join(existing.select(key), key, "left_anti")
+    present = existing.select(key).join(new_docs.select(key).distinct(), key, "left_semi").distinct()
+    return new_docs.join(present, key, "left_anti")
 
 
 def embed_missing(df: DataFrame, embed: Callable[[Column], Column], text: Column,
@@ -93,12 +87,14 @@ class EvidenceStore:
         return out.select("doc_key", F.col("doc_id").cast("long"), "content", "meta", "embedding")
 
     def new_documents(self, docs: DataFrame) -> DataFrame:
-        """S7 without the write: dedupe, skip stored keys, embed the missing vectors."""
+        """S7 without the write: dedupe, skip stored keys, embed the missing vectors.
+
+        The keyed batch is written once, so its input runs once however often it is read."""
         existing = self.read() if self.exists() else None
         if existing is not None and existing.isEmpty():
             existing = None
-        bound = docs.count() if existing is not None else None      # rows >= distinct keys; no column read
-        fresh = insert_if_absent(dedupe_documents(self.prepare(docs)), existing, n_keys_bound=bound)
+        keyed = written(dedupe_documents(self.prepare(docs)), "batch")
+        fresh = insert_if_absent(keyed, existing)
         return embed_missing(fresh, self.embed, embed_input(F.col("meta.title"), F.col("content")))
 
     def write_documents(self, docs: DataFrame) -> None:
@@ -122,7 +118,5 @@ class EvidenceStore:
         """J4 + T1: best k documents per query row; rows (qid, doc_id, score, rank, content, meta)."""
         q = queries.select(F.col(qid), self.embed(F.col(text)).alias("embedding"))
         store = self.read()
-        hits = knn.knn_topk(q, store, k, self.similarity, qid=qid, did="doc_id", **kw)
-        if queries.count() * k <= 2_000_000:     # bounded hits: broadcast them into the store scan
-            hits = F.broadcast(hits)
+        hits = written(knn.knn_topk(written(q, "phrases"), store, k, self.similarity, qid=qid, did="doc_id", **kw), "hits")
         return store.select("doc_id", "content", "meta").join(hits, "doc_id")

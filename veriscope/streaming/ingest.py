@@ -31,11 +31,7 @@ def ingest_pages(spark: SparkSession, landing: str, schema: StructType, store: E
               .json(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()          # parsed once; reused by the size check and the write
-        try:
-            store.write_documents(to_documents(batch))
-        finally:
-            batch.unpersist()
+        store.write_documents(to_documents(batch))      # writes the keyed batch first: pages are parsed once
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if processing_time:
