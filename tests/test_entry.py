@@ -11,7 +11,8 @@ FAST = ["uninvert_abstract", "concept_filter", "article_text", "search_by_field"
         "enrich_by_doi", "split_sentences", "topic_gate", "extract_claims", "claims_per_doc", "claim_documents",
         "dedupe_documents", "insert_if_absent", "hash_embedding", "topk_dot", "topk_cosine", "topk_cosine_blocked",
         "match_report", "verify_claims", "export_corpus_abstracts", "export_claims", "export_corpus_titles",
-        "topk_one", "partition_map", "skip_done", "ivf_probe", "match_report_ivf", "store_top_k", "store_top_k_batch"]
+        "topk_one", "partition_map", "skip_done", "ivf_probe", "match_report_ivf", "store_top_k", "store_top_k_batch",
+        "embed_missing"]
 
 
 def _cell(v):

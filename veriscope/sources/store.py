@@ -46,7 +46,8 @@ def embed_missing(df: DataFrame, embed: Callable[[Column], Column], text: Column
     """Compute embeddings only where missing (existing ones are kept).
 
     Two branches, because a Python embedder inside ``when`` would run on every row."""
-    missing = df.filter(F.col(vec).isNull()).withColumn(vec, embed(text).cast(df.schema[vec].dataType))
+    missing = df.filter(F.col(vec).isNull()).withColumn(
+        vec, embed(text).cast(df.schema[vec].dataType.simpleString()))
     return df.filter(F.col(vec).isNotNull()).unionByName(missing)
 
 
