@@ -56,12 +56,13 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Equal sets are one class with a count.  A class's signature is a forest of tries:
     TREES sequences of DEPTH MinHash values, where classes that share a sequence's
     prefix are candidates.  Prefixes start at full depth and are shortened by one
-    value, until the links found, each weighted by its chance of being found at this
-    depth, say that the target recall is reached.  A trie node whose members were
-    together in another node before adds nothing and is left out; the members of the
-    others meet in blocks of ``block_rows``, where a task computes exact similarities
-    and returns link counts, local roots and a histogram, never pairs.  A pair that
-    shares several nodes counts in the first tree and at the greatest depth only.
+    value, until the similar candidates, each weighted by its chance of being found at
+    this depth, say that the target recall is reached.  Up to here the share of equal
+    MinHash values stands for the similarity, so no text is moved; a trie node whose
+    members were together in a node before adds nothing and is left out.  Then texts
+    meet once: the members of each node of the last depth in blocks of ``block_rows``,
+    where a task computes exact similarities and returns link counts and local roots,
+    never pairs.  A pair that shares several nodes counts in the first tree only.
     Nodes of any size are handled, by more blocks.
 
     A null or empty text, or one without words, links with nothing.  Repeated rows
@@ -91,16 +92,20 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = write_table(signed.where("n > 0").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig")), "classes")
     named = classes.where("rep is not null").select("rep", "copies", "sig", "n")
-    links, seen, found, depth = None, None, np.zeros(BINS), DEPTH
+    seen, found, depth = None, np.zeros(BINS), DEPTH
+    middle = threshold + (np.arange(BINS) + 0.5) * (1 - threshold) / BINS
     while True:
-        links, seen, more = _round(rows, named, depth, threshold, words, block_rows, links, seen)
-        found += more
-        middle = threshold + (np.arange(BINS) + 0.5) * (1 - threshold) / BINS
+        members, nodes = _nodes(named, depth)
+        new = nodes if seen is None else nodes.join(seen.hint("merge"), ["members", "x1", "x2"], "left_anti")
+        found += _candidates(members, new, named, depth, threshold, block_rows)
         expected = (found / found_share(middle, depth)).sum()
         if depth == 1 or not expected or found.sum() >= recall * expected:
             if found_share(threshold, depth) >= 0.99:       # few links prove little: the worst case must be likely too
                 break
+        marks = nodes.select("members", "x1", "x2")
+        seen = marks if seen is None else seen.unionByName(marks)
         depth -= 1
+    links = _verified(rows, members, nodes, named, depth, threshold, words, block_rows)
 
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(links, "rep", "root").withColumnRenamed("id", "rep")
@@ -113,77 +118,124 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _round(rows, named, depth, threshold, words, block_rows, links, seen):
-    """One depth of the forest: (all links so far, all nodes' marks so far, histogram of the new links)."""
-    prefix = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * depth)).alias("prefix")))
-    tries = named.select("rep", F.explode(prefix).alias("p")).select("rep", "p.tree", "p.prefix")
-    mark = F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2")
-    nodes = tries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), *mark).where("members > 1")
-    nodes = nodes.groupBy("members", "x1", "x2").agg(F.min(F.struct("tree", "prefix")).alias("node"))
-    nodes = write_table(nodes.select("members", "x1", "x2", "node.tree", "node.prefix"), "nodes")
-    marks = nodes.select("members", "x1", "x2")
-    new = nodes if seen is None else write_table(nodes.join(seen, ["members", "x1", "x2"], "left_anti"), "nodes")
-    seen = marks if seen is None else seen.unionByName(marks)
-    members = write_table(tries.join(new.select("tree", "prefix", "members").hint("merge"), ["tree", "prefix"])
-                          .select("tree", "prefix", "members", "rep"), "members")
-    wanted = write_table(members.select("rep").distinct().join(named, "rep"), "wanted")
+def _nodes(named: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Trie nodes of one depth with two members or more: (their members, one node of each set of members)."""
+    key = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
+        t.cast("byte").alias("tree"), F.xxhash64(F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * depth))).alias("node")))
+    tries = named.select("rep", F.explode(key).alias("k")).select("rep", "k.tree", "k.node")
+    met = write_table(tries.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "nodes")
+    # Both sides of this join grow with the corpus: never broadcast, one plan at every size.
+    members = write_table(tries.join(met.hint("merge"), ["tree", "node"]), "members")
+    nodes = members.groupBy("tree", "node", "members").agg(
+        F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"))
+    nodes = nodes.groupBy("members", "x1", "x2").agg(F.min(F.struct("tree", "node")).alias("n"))
+    return members, write_table(nodes.select("members", "x1", "x2", "n.tree", "n.node"), "distinct")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [s.tobytes() for s in shingle_sets(b.column(1), words)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["rep", "grams"])
-
-    # Both sides of these joins grow with the corpus: never broadcast, one plan at every size.
-    texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    grams = texts.mapInArrow(cut, "rep long, grams binary").dropDuplicates(["rep"])
-    full = write_table(wanted.join(grams, "rep"), "grams")
 
+def _dealt(members: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
+    """(rep, tree, own, same, meeting, pack): the blocks of each listed node meet each other and themselves."""
+    listed = write_table(members.join(nodes.select("tree", "node").hint("merge"), ["tree", "node"]), "listed")
     blocks = F.ceil(F.col("members") / block_rows).cast("int")
     own = F.pmod(F.xxhash64(F.lit(3), "rep"), blocks).cast("int")
-    dealt = members.select("tree", "prefix", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select("tree", "rep", F.xxhash64("tree", "prefix", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
-                         "own", (F.col("own") == F.col("other")).alias("same"))
+    dealt = listed.select("tree", "node", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("rep", "tree", "own", (F.col("own") == F.col("other")).alias("same"),
+                         F.xxhash64("tree", "node", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"))
     # About 1,000 rows a pack: many small meetings share a task's call, a large one fills it.
     packs = max(1, dealt.count() // 1000)
-    packed = dealt.join(full.hint("merge"), "rep").withColumn("pack", F.pmod("meeting", F.lit(packs)))
+    return dealt.withColumn("pack", F.pmod("meeting", F.lit(packs)))
+
+
+def _candidates(members, nodes, named, depth, threshold, block_rows) -> np.ndarray:
+    """Histogram of the estimated similarities of pairs that these nodes bring together for the first time."""
+    dealt = _dealt(members, nodes, block_rows).join(named.select("rep", "sig").hint("merge"), "rep")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, histogram = [], np.zeros(BINS, "i8")
+        histogram = np.zeros(BINS, "i8")
         for _, part in pdf.groupby("meeting", sort=False):
-            part = part.sort_values(["rep", "own"], kind="stable")
-            got = _links(part, depth, threshold, histogram)
-            if got is not None:
-                out.append(got)
+            sig = _signs(part)
+            i, j = _alike(sig.reshape(len(sig), -1), None if part["same"].iat[0] else part["own"].to_numpy(), threshold)
+            mine = _first(sig, i, j, part["tree"].iat[0], depth)
+            if depth < DEPTH:
+                mine &= ~(sig[i][:, :, :depth + 1] == sig[j][:, :, :depth + 1]).all(2).any(1)
+            share = (sig[i[mine]] == sig[j[mine]]).mean((1, 2))
+            np.add.at(histogram, np.minimum(((share - threshold) / (1 - threshold) * BINS).astype(int), BINS - 1), 1)
         bins = np.flatnonzero(histogram)
-        out.append(pd.DataFrame({"rep": None, "links": histogram[bins], "root": bins}))
-        return pd.concat(out).astype({"rep": "Int64"}) if len(out) > 1 else out[0].astype({"rep": "Int64"})
+        return pd.DataFrame({"bin": bins, "n": histogram[bins]})
+
+    out = np.zeros(BINS)
+    for r in dealt.groupBy("pack").applyInPandas(meet, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        out[r["bin"]] = r["n"]                             # BINS rows
+    return out
 
-    got = write_table(packed.groupBy("pack").applyInPandas(meet, "rep long, links long, root long"), "links")
-    histogram = np.zeros(BINS)
-    for r in got.where("rep is null").groupBy("root").agg(F.sum("links").alias("n")).collect():   # BINS rows
-        histogram[r["root"]] = r["n"]
-    new_links = got.where("rep is not null")
-    return (new_links if links is None else links.unionByName(new_links)), seen, histogram
 
+def _verified(rows, members, nodes, named, depth, threshold, words, block_rows) -> DataFrame:
+    """(rep, links, root): exact links of the pairs that share a node, counted in the tasks where they meet."""
+    dealt = write_table(_dealt(members, nodes, block_rows), "dealt")
+    wanted = named.select("rep", "copies", "sig").join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
+    # Texts are shuffled once, by document; the rest of this chain keeps that partitioning.
+    texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    texts = texts.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep").join(wanted.hint("merge"), "rep")
 
-def _links(part: pd.DataFrame, depth: int, threshold: float, histogram: np.ndarray) -> pd.DataFrame | None:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, grams = None, None
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            new = np.concatenate([[True], ids[1:] != ids[:-1]])      # the rows of one document follow each other
+            new[:1] = len(ids) > 0 and ids[0] != last
+            fresh = shingle_sets(b.column(1).take(pa.array(np.flatnonzero(new))), words)
+            sets = []
+            for starts in new.tolist():
+                if starts:
+                    grams = next(fresh).tobytes()
+                sets.append(grams)
+            last = ids[-1] if len(ids) else last
+            yield pa.RecordBatch.from_arrays([*b.columns[:1], *b.columns[2:], pa.array(sets, pa.binary())],
+                                             ["rep", "copies", "sig", "tree", "own", "same", "meeting", "pack", "grams"])
+
+    packed = texts.join(dealt.hint("merge"), "rep").select(
+        "rep", "text", "copies", "sig", "tree", "own", "same", "meeting", "pack").mapInArrow(
+        cut, "rep long, copies long, sig binary, tree byte, own int, same boolean, meeting long, pack long, grams binary")
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"rep": [], "links": [], "root": []}, dtype="i8")]
+        for _, part in pdf.groupby("meeting", sort=False):
+            out.append(_links(part.sort_values(["rep", "own"], kind="stable"), depth, threshold))
+        return pd.concat([x for x in out if x is not None])
+
+    return write_table(packed.groupBy("pack").applyInPandas(meet, "rep long, links long, root long"), "links")
+
+
+def _signs(part: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(part["sig"]), "<u2").reshape(-1, TREES, DEPTH)
+
+
+def _first(sig: np.ndarray, i: np.ndarray, j: np.ndarray, tree: int, depth: int) -> np.ndarray:
+    """Whether ``tree`` is the first in which the pairs share a prefix of this depth."""
+    return (sig[i][:, :, :depth] == sig[j][:, :, :depth]).all(2).argmax(1) == tree
+
+
+def _alike(sig: np.ndarray, own: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j (of different blocks, if ``own`` names them) with ``threshold`` or more equal MinHash values."""
+    left, right = [], []
+    for a in range(len(sig) - 1):
+        ok = (sig[a + 1:] == sig[a]).mean(1) >= threshold
+        if own is not None:
+            ok &= own[a + 1:] != own[a]
+        b = np.flatnonzero(ok) + a + 1
+        left.append(np.full(len(b), a))
+        right.append(b)
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
+
+
+def _links(part: pd.DataFrame, depth: int, threshold: float) -> pd.DataFrame | None:
     """Link counts and local roots of one meeting: a block with itself, or two blocks with each other."""
     sets = [np.frombuffer(x, np.uint64) for x in part["grams"]]
-    own, same = part["own"].to_numpy(), bool(part["same"].iat[0])
     sizes = np.array([len(s) for s in sets])
-    i, j = _similar(sets, sizes, None if same else own, threshold)
-    if not len(i):
-        return None
-    sig = np.frombuffer(b"".join(part["sig"]), "<u2").reshape(-1, TREES, DEPTH)
-    shared = (sig[i][:, :, :depth] == sig[j][:, :, :depth]).all(2)
-    before = (sig[i][:, :, :depth + 1] == sig[j][:, :, :depth + 1]).all(2).any(1) if depth < DEPTH else np.zeros(len(i), bool)
-    mine = (shared.argmax(1) == part["tree"].iat[0]) & ~before
+    i, j = _similar(sets, sizes, None if part["same"].iat[0] else part["own"].to_numpy(), threshold)
+    mine = _first(_signs(part), i, j, part["tree"].iat[0], depth)
     i, j = i[mine], j[mine]
     if not len(i):
         return None
-    share = _jaccard(sets, sizes, i, j)
-    np.add.at(histogram, np.minimum(((share - threshold) / (1 - threshold) * BINS).astype(int), BINS - 1), 1)
     rep, copies = part["rep"].to_numpy(), part["copies"].to_numpy()
     links = np.zeros(len(part), "i8")
     np.add.at(links, i, copies[j])
@@ -192,14 +244,6 @@ def _links(part: pd.DataFrame, depth: int, threshold: float, histogram: np.ndarr
     return pd.DataFrame({"rep": rep[some], "links": links[some], "root": rep[local_roots(len(part), i, j)][some]})
 
 
-def _jaccard(sets, sizes, i, j) -> np.ndarray:
-    if len(i) > 4 * len(sets):                             # many links among few sets: from one table of overlaps
-        both = _overlaps(sets)[i, j]
-    else:
-        both = np.array([len(np.intersect1d(sets[a], sets[b], True)) for a, b in zip(i, j)])
-    return both / (sizes[i] + sizes[j] - both)
-
-
 def _similar(sets, sizes, own, threshold) -> tuple[np.ndarray, np.ndarray]:
     """Pairs i < j (of different blocks, if ``own`` names them) with Jaccard >= threshold, exactly."""
     if len(sets) == 2:
