@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veriscope.llm.common import documents, write_table
 from veriscope.llm.components import components, local_roots
-from veriscope.llm.shingles import shingle_sets
+from veriscope.llm.shingles import mix, shingle_sets
 
 TREES, DEPTH = 24, 7
 BINS = 20
@@ -45,7 +45,7 @@ def found_share(similarity: float | np.ndarray, depth: int):
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
-                   words: int = 5, recall: float = 0.9999, block_rows: int = 512, seed: int = 5) -> DataFrame:
+                   words: int = 5, recall: float = 0.9999, block_rows: int = 2048, block_shingles: int = 1 << 21, seed: int = 5) -> DataFrame:
     """(doc_id, class_id, copy_id, n_shingles, n_links): one row per input row.
 
     Documents whose sets of word shingles have a Jaccard similarity of ``threshold``
@@ -60,8 +60,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     this depth, say that the target recall is reached.  Up to here the share of equal
     MinHash values stands for the similarity, so no text is moved; a trie node whose
     members were together in a node before adds nothing and is left out.  Then texts
-    meet once: the members of each node of the last depth in blocks of ``block_rows``,
-    where a task computes exact similarities and returns link counts and local roots,
+    meet once: the members of each node of the last depth in blocks of about ``block_rows`` rows and
+    ``block_shingles`` shingles, where a task computes exact similarities and returns link counts and local roots,
     never pairs.  A pair that shares several nodes counts in the first tree only.
     Nodes of any size are handled, by more blocks.
 
@@ -92,12 +92,13 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = write_table(signed.where("n > 0").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig")), "classes")
     named = classes.where("rep is not null").select("rep", "copies", "sig", "n")
+    block = block_rows, block_shingles
     seen, found, depth = None, np.zeros(BINS), DEPTH
     middle = threshold + (np.arange(BINS) + 0.5) * (1 - threshold) / BINS
     while True:
         members, nodes = _nodes(named, depth)
         new = nodes if seen is None else nodes.join(seen.hint("merge"), ["members", "x1", "x2"], "left_anti")
-        found += _candidates(members, new, named, depth, threshold, block_rows)
+        found += _candidates(members, new, named, depth, threshold, block)
         expected = (found / found_share(middle, depth)).sum()
         if depth == 1 or not expected or found.sum() >= recall * expected:
             if found_share(threshold, depth) >= 0.99:       # few links prove little: the worst case must be likely too
@@ -105,7 +106,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         marks = nodes.select("members", "x1", "x2")
         seen = marks if seen is None else seen.unionByName(marks)
         depth -= 1
-    links = _verified(rows, members, nodes, named, depth, threshold, words, block_rows)
+    links = _verified(rows, members, nodes, named, depth, threshold, words, block)
 
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(links, "rep", "root").withColumnRenamed("id", "rep")
@@ -122,20 +123,21 @@ def _nodes(named: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     """Trie nodes of one depth with two members or more: (their members, one node of each set of members)."""
     key = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
         t.cast("byte").alias("tree"), F.xxhash64(F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * depth))).alias("node")))
-    tries = named.select("rep", F.explode(key).alias("k")).select("rep", "k.tree", "k.node")
-    met = write_table(tries.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "nodes")
+    tries = named.select("rep", "n", F.explode(key).alias("k")).select("rep", "n", "k.tree", "k.node")
+    met = write_table(tries.groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")).where("members > 1"), "nodes")
     # Both sides of this join grow with the corpus: never broadcast, one plan at every size.
-    members = write_table(tries.join(met.hint("merge"), ["tree", "node"]), "members")
+    members = write_table(tries.drop("n").join(met.hint("merge"), ["tree", "node"]), "members")
     nodes = members.groupBy("tree", "node", "members").agg(
         F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"))
     nodes = nodes.groupBy("members", "x1", "x2").agg(F.min(F.struct("tree", "node")).alias("n"))
     return members, write_table(nodes.select("members", "x1", "x2", "n.tree", "n.node"), "distinct")
 
 
-def _dealt(members: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
+def _dealt(members: DataFrame, nodes: DataFrame, block: tuple[int, int]) -> DataFrame:
     """(rep, tree, own, same, meeting, pack): the blocks of each listed node meet each other and themselves."""
     listed = write_table(members.join(nodes.select("tree", "node").hint("merge"), ["tree", "node"]), "listed")
-    blocks = F.ceil(F.col("members") / block_rows).cast("int")
+    blocks = F.ceil(F.greatest(F.col("members") / block[0], F.col("shingles") / block[1])).cast("int")
     own = F.pmod(F.xxhash64(F.lit(3), "rep"), blocks).cast("int")
     dealt = listed.select("tree", "node", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = dealt.select("rep", "tree", "own", (F.col("own") == F.col("other")).alias("same"),
@@ -145,20 +147,22 @@ def _dealt(members: DataFrame, nodes: DataFrame, block_rows: int) -> DataFrame:
     return dealt.withColumn("pack", F.pmod("meeting", F.lit(packs)))
 
 
-def _candidates(members, nodes, named, depth, threshold, block_rows) -> np.ndarray:
+def _candidates(members, nodes, named, depth, threshold, block) -> np.ndarray:
     """Histogram of the estimated similarities of pairs that these nodes bring together for the first time."""
-    dealt = _dealt(members, nodes, block_rows).join(named.select("rep", "sig").hint("merge"), "rep")
+    dealt = _dealt(members, nodes, block).join(named.select("rep", "sig").hint("merge"), "rep")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         histogram = np.zeros(BINS, "i8")
         for _, part in pdf.groupby("meeting", sort=False):
-            sig = _signs(part)
-            i, j = _alike(sig.reshape(len(sig), -1), None if part["same"].iat[0] else part["own"].to_numpy(), threshold)
-            mine = _first(sig, i, j, part["tree"].iat[0], depth)
-            if depth < DEPTH:
-                mine &= ~(sig[i][:, :, :depth + 1] == sig[j][:, :, :depth + 1]).all(2).any(1)
-            share = (sig[i[mine]] == sig[j[mine]]).mean((1, 2))
-            np.add.at(histogram, np.minimum(((share - threshold) / (1 - threshold) * BINS).astype(int), BINS - 1), 1)
+            sig = np.frombuffer(b"".join(part["sig"]), "<u2").reshape(len(part), -1)
+            keys, longer = _prefixes(sig, depth), _prefixes(sig, depth + 1) if depth < DEPTH else None
+            tree = part["tree"].iat[0]
+            for i, j, share in _alike(sig, None if part["same"].iat[0] else part["own"].to_numpy(), threshold):
+                mine = _first(keys, i, j, tree)
+                if longer is not None:
+                    mine &= ~(longer[i] == longer[j]).any(1)
+                share = share[mine]
+                np.add.at(histogram, np.minimum(((share - threshold) / (1 - threshold) * BINS).astype(int), BINS - 1), 1)
         bins = np.flatnonzero(histogram)
         return pd.DataFrame({"bin": bins, "n": histogram[bins]})
 
@@ -168,9 +172,9 @@ def _candidates(members, nodes, named, depth, threshold, block_rows) -> np.ndarr
     return out
 
 
-def _verified(rows, members, nodes, named, depth, threshold, words, block_rows) -> DataFrame:
+def _verified(rows, members, nodes, named, depth, threshold, words, block) -> DataFrame:
     """(rep, links, root): exact links of the pairs that share a node, counted in the tasks where they meet."""
-    dealt = write_table(_dealt(members, nodes, block_rows), "dealt")
+    dealt = write_table(_dealt(members, nodes, block), "dealt")
     wanted = named.select("rep", "copies", "sig").join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
     # Texts are shuffled once, by document; the rest of this chain keeps that partitioning.
     texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
@@ -205,26 +209,33 @@ def _verified(rows, members, nodes, named, depth, threshold, words, block_rows)
     return write_table(packed.groupBy("pack").applyInPandas(meet, "rep long, links long, root long"), "links")
 
 
-def _signs(part: pd.DataFrame) -> np.ndarray:
-    return np.frombuffer(b"".join(part["sig"]), "<u2").reshape(-1, TREES, DEPTH)
+def _prefixes(sig: np.ndarray, depth: int) -> np.ndarray:
+    """(n, TREES) 64-bit hashes of the prefixes of this depth."""
+    odd = mix(np.arange(1, depth + 1, dtype=np.uint64)) | np.uint64(1)
+    return mix((sig.reshape(-1, TREES, DEPTH)[:, :, :depth].astype(np.uint64) * odd).sum(2, dtype=np.uint64))
 
 
-def _first(sig: np.ndarray, i: np.ndarray, j: np.ndarray, tree: int, depth: int) -> np.ndarray:
-    """Whether ``tree`` is the first in which the pairs share a prefix of this depth."""
-    return (sig[i][:, :, :depth] == sig[j][:, :, :depth]).all(2).argmax(1) == tree
+def _first(keys: np.ndarray, i: np.ndarray, j: np.ndarray, tree: int) -> np.ndarray:
+    """Whether the pairs, which share a prefix in ``tree``, share none in a tree before it."""
+    out = np.ones(len(i), bool)
+    early = np.ascontiguousarray(keys[:, :tree])
+    for a in range(0, len(i) if tree else 0, 1 << 16):
+        out[a:a + (1 << 16)] = ~(early[i[a:a + (1 << 16)]] == early[j[a:a + (1 << 16)]]).any(1)
+    return out
+
 
+def _alike(sig: np.ndarray, own: np.ndarray | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, share of equal MinHash values) of pairs with a share of ``threshold`` or more.
 
-def _alike(sig: np.ndarray, own: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j (of different blocks, if ``own`` names them) with ``threshold`` or more equal MinHash values."""
-    left, right = [], []
-    for a in range(len(sig) - 1):
-        ok = (sig[a + 1:] == sig[a]).mean(1) >= threshold
-        if own is not None:
-            ok &= own[a + 1:] != own[a]
-        b = np.flatnonzero(ok) + a + 1
-        left.append(np.full(len(b), a))
-        right.append(b)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
+    Pairs are those inside a block, or, if ``own`` names two blocks, those between them."""
+    left = np.arange(len(sig) - 1) if own is None else np.flatnonzero(own == own.min())
+    right = None if own is None else np.flatnonzero(own != own.min())
+    for a in left.tolist():
+        others = np.arange(a + 1, len(sig)) if right is None else right
+        share = (sig[others] == sig[a]).mean(1)
+        ok = share >= threshold
+        if ok.any():
+            yield np.full(int(ok.sum()), a), others[ok], share[ok]
 
 
 def _links(part: pd.DataFrame, depth: int, threshold: float) -> pd.DataFrame | None:
@@ -232,7 +243,7 @@ def _links(part: pd.DataFrame, depth: int, threshold: float) -> pd.DataFrame | N
     sets = [np.frombuffer(x, np.uint64) for x in part["grams"]]
     sizes = np.array([len(s) for s in sets])
     i, j = _similar(sets, sizes, None if part["same"].iat[0] else part["own"].to_numpy(), threshold)
-    mine = _first(_signs(part), i, j, part["tree"].iat[0], depth)
+    mine = _first(_prefixes(np.frombuffer(b"".join(part["sig"]), "<u2"), depth), i, j, part["tree"].iat[0])
     i, j = i[mine], j[mine]
     if not len(i):
         return None
@@ -245,40 +256,39 @@ def _links(part: pd.DataFrame, depth: int, threshold: float) -> pd.DataFrame | N
 
 
 def _similar(sets, sizes, own, threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j (of different blocks, if ``own`` names them) with Jaccard >= threshold, exactly."""
+    """Pairs inside a block, or between the two blocks that ``own`` names, with Jaccard >= threshold, exactly."""
+    if own is not None and (own == own[0]).all():          # the other block is empty
+        return np.empty(0, int), np.empty(0, int)
     if len(sets) == 2:
-        if own is not None and own[0] == own[1]:
-            return np.empty(0, int), np.empty(0, int)
         both = len(np.intersect1d(sets[0], sets[1], True))
         ok = both >= threshold * (sizes[0] + sizes[1] - both)
         return (np.array([0]), np.array([1])) if ok else (np.empty(0, int), np.empty(0, int))
-    both = _overlaps(sets)
-    ok = both >= threshold * (sizes[:, None] + sizes[None, :] - both)
-    ok = np.triu(ok, 1)
-    if own is not None:
-        ok &= own[:, None] != own[None, :]
-    return np.nonzero(ok)
+    left = np.arange(len(sets)) if own is None else np.flatnonzero(own == own.min())
+    right = left if own is None else np.flatnonzero(own != own.min())
+    both = _overlaps(sets, left, right)
+    i, j = np.nonzero(both >= threshold * (sizes[left][:, None] + sizes[right][None, :] - both))
+    i, j = left[i], right[j]
+    return (i[i < j], j[i < j]) if own is None else (i, j)
 
 
-def _overlaps(sets) -> np.ndarray:
-    """Sizes of all intersections: a 0/1 table of sets by shared shingles times itself, some columns at a time."""
+def _overlaps(sets, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of left with right sets: two 0/1 tables of sets by shared shingles, multiplied some columns at a time."""
     n = len(sets)
     grams = np.concatenate(sets)
     who = np.repeat(np.arange(n), [len(s) for s in sets])
     order = np.argsort(grams, kind="stable")
     grams, who = grams[order], who[order]
     column = np.cumsum(np.concatenate([[0], (grams[1:] != grams[:-1]).astype("i8")]))
-    times = np.bincount(column)
-    shared = times[column] > 1                              # a shingle of one set meets nothing
+    shared = np.bincount(column)[column] > 1                # a shingle of one set meets nothing
     column, who = column[shared], who[shared]
+    out = np.zeros((len(left), len(right)), np.float32)     # counts below 2**24 are exact
     if not len(column):
-        return np.diag([len(s) for s in sets]).astype(float)
+        return out
     column = np.cumsum(np.concatenate([[0], (np.diff(column) != 0).astype("i8")]))
-    out = np.zeros((n, n), np.float64)
     step = max(256, (1 << 21) // n)
     for lo in range(0, int(column[-1]) + 1, step):
         a, b = np.searchsorted(column, [lo, lo + step])
         table = np.zeros((n, step), np.float32)
         table[who[a:b], column[a:b] - lo] = 1
-        out += table @ table.T
+        out += table[left] @ table[right].T
     return out
