@@ -1,7 +1,10 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` and their DuckDB oracles.
 
 Every query reads the given tables whole (no id subsets, no row caps; a limit only
-where it is the feature).  Column names and types match the oracle's.
+where it is the feature), but for ``topk_dot``, ``topk_cosine``, ``topk_cosine_blocked``,
+``ivf_full_probe`` and ``ivf_probe``, whose SQL takes the vectors of label 0 as queries: the
+``*_all`` queries take every vector.  Column names and types match
+the oracle's.
 """
 
 from __future__ import annotations
@@ -381,10 +384,10 @@ def q_index_claims(spark, sf):
 
 # ----------------------------------------------------------------------------- k-NN on vectors
 
-def _topk_sql(metric: str) -> str:
+def _topk_sql(metric: str, queries: str = "label = 0") -> str:
     score = "list_dot_product(q.v, s.v)" if metric == "dot_product" else S.cosine("q.v", "s.v")
     return f"""
-WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE label = 0),
+WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {queries}),
 s AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 p AS (SELECT q.query_id, s.vec_id, round({score}, 6) AS score FROM q, s)
 SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, score
@@ -461,6 +464,52 @@ def q_ivf_probe(spark, sf):
     return _ivf(spark, sf, IVF_PROBES, centres=True)
 
 
+def _all_vectors(spark, sf):
+    """Every vector as a query against every vector."""
+    e = load(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("query_id"), "embedding"), e
+
+
+def _all_topk(spark, sf, metric: str, **kw):
+    q, s = _all_vectors(spark, sf)
+    return knn.knn_topk(q, s, TOP_K, metric, qid="query_id", did="vec_id", **kw).select(
+        "query_id", "vec_id", "rank", "score")
+
+
+@query("topk_dot_all", _topk_sql("dot_product", "embedding IS NOT NULL"))
+def q_topk_dot_all(spark, sf):
+    return _all_topk(spark, sf, "dot_product")
+
+
+@query("topk_cosine_all", _topk_sql("cosine", "embedding IS NOT NULL"))
+def q_topk_cosine_all(spark, sf):
+    return _all_topk(spark, sf, "cosine")
+
+
+@query("topk_cosine_blocked_all", _topk_sql("cosine", "embedding IS NOT NULL"))
+def q_topk_cosine_blocked_all(spark, sf):
+    return _all_topk(spark, sf, "cosine", method="blocked")
+
+
+def _opened(spark, store, nlist: int, centres=None):
+    """The store filed by IVF cells and opened again: (store, centres)."""
+    path = scratch_path(spark, "ivf-store")
+    knn.build_ivf_index(store, path, "IVF_FLAT", nlist, centroids=centres)
+    return knn.open_ivf_index(spark, path)
+
+
+def _probed(q, store, centroids, nprobe: int):
+    return knn.knn_topk(knn.probe_cells(q, centroids, nprobe), store, TOP_K, "cosine", qid="query_id", did="vec_id",
+                        probes="cells", cell="cell").select("query_id", "vec_id", "rank", "score")
+
+
+@query("ivf_full_probe_all", _topk_sql("cosine", "embedding IS NOT NULL"))
+def q_ivf_full_all(spark, sf):
+    q, s = _all_vectors(spark, sf)
+    store, centroids = _opened(spark, s, IVF_CELLS)
+    return _probed(q, store, centroids, len(centroids))
+
+
 # ----------------------------------------------------------------------------- evidence pipeline
 
 def _store_cte() -> str:
