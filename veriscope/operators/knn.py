@@ -32,6 +32,7 @@ from veriscope.functions.vectors import cosine_expr, dot_expr
 
 CANDIDATE_SCHEMA = "qid long, did long, score double"
 _NO_DOC = np.iinfo(np.int64).max
+RECALL = 0.9
 
 
 def round6(x: np.ndarray) -> np.ndarray:
@@ -373,3 +374,22 @@ def probe_cells(df: DataFrame, centroids: np.ndarray, nprobe: int, vec: str = "e
     """The ``nprobe`` nearest cells per query."""
     nprobe = max(1, min(nprobe, len(centroids)))
     return df.withColumn(name, _nearest_cells_udf(centroids, nprobe, metric)(F.col(vec)))
+
+
+def choose_nprobe(queries: DataFrame, store: DataFrame, centroids: np.ndarray, k: int = 10, recall: float = RECALL,
+                  metric: str = "cosine", qid: str = "claim_id", did: str = "doc_id", vec: str = "embedding",
+                  cell: str = "cell") -> int:
+    """The least number of probed cells that finds ``recall`` of the exact top-k of these queries.
+
+    A true neighbour is found just when its cell is probed: the rows of other cells that
+    are missing can only let it rise.  Without any neighbour to measure, all cells."""
+    exact = knn_topk(queries, store, k, metric, qid=qid, did=did, qvec=vec, dvec=vec).select(qid, did)
+    order = probe_cells(queries.where(F.col(vec).isNotNull()), centroids, len(centroids), vec, metric, "_order")
+    at = (exact.join(store.select(did, cell), did).join(order.select(qid, "_order"), qid)
+          .groupBy(F.array_position("_order", F.col(cell)).alias("nth")).agg(F.count(F.lit(1)).alias("n")).collect())
+    found = np.zeros(len(centroids) + 1)
+    for r in at:                                           # at most nlist rows
+        found[int(r["nth"])] = r["n"]
+    if not found.sum():
+        return len(centroids)
+    return int(np.flatnonzero(np.cumsum(found) >= recall * found.sum())[0])

@@ -3,7 +3,7 @@
 Every query reads the given tables whole (no id subsets, no row caps; a limit only
 where it is the feature), but for ``topk_dot``, ``topk_cosine``, ``topk_cosine_blocked``,
 ``ivf_full_probe`` and ``ivf_probe``, whose SQL takes the vectors of label 0 as queries: the
-``*_all`` queries take every vector.  Column names and types match
+``*_all`` queries and ``ivf_probe_recall`` take every vector.  Column names and types match
 the oracle's.
 """
 
@@ -510,6 +510,36 @@ def q_ivf_full_all(spark, sf):
     return _probed(q, store, centroids, len(centroids))
 
 
+_IVF_RECALL_SQL = f"""
+WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+           WHERE label IS NOT NULL),
+c AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, round(avg(x), 6) AS x FROM x GROUP BY ALL) GROUP BY label),
+cells AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, c FROM c),
+e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
+near AS (SELECT e.*, cell, row_number() OVER (PARTITION BY vec_id ORDER BY
+         list_dot_product(c, c) - 2 * list_dot_product(v, c) / sqrt(list_dot_product(v, v)), cell) AS nth FROM e, cells),
+home AS (SELECT vec_id, cell, v FROM near WHERE nth = 1),
+pairs AS (SELECT q.vec_id AS query_id, s.vec_id, s.cell, round({S.cosine("q.v", "s.v")}, 6) AS score FROM e q, home s),
+exact AS (SELECT query_id, vec_id, cell FROM pairs WHERE query_id % 100 = 0
+          QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {TOP_K}),
+hit AS (SELECT near.nth FROM exact JOIN near ON near.vec_id = exact.query_id AND near.cell = exact.cell),
+enough AS (SELECT coalesce((SELECT min(n) FROM (SELECT DISTINCT nth AS n FROM near) t WHERE
+           (SELECT count(*) FROM hit WHERE nth <= n) >= {knn.RECALL} * (SELECT count(*) FROM hit)
+           AND (SELECT count(*) FROM hit) > 0), (SELECT count(*) FROM cells)) AS nprobe)
+SELECT p.query_id, p.vec_id, row_number() OVER (PARTITION BY p.query_id ORDER BY p.score DESC, p.vec_id)::INTEGER AS rank, p.score
+FROM pairs p JOIN near q ON q.vec_id = p.query_id AND q.cell = p.cell, enough WHERE q.nth <= enough.nprobe
+QUALIFY rank <= {TOP_K}"""
+
+
+@query("ivf_probe_recall", _IVF_RECALL_SQL)
+def q_ivf_probe_recall(spark, sf):
+    """Cells around the labels' mean vectors, as many probed as the recall measured on vec_id % 100 = 0 asks for."""
+    q, s = _all_vectors(spark, sf)
+    store, centroids = _opened(spark, s, 0, _label_means(s))
+    nprobe = knn.choose_nprobe(q.where("query_id % 100 = 0"), store, centroids, TOP_K, qid="query_id", did="vec_id")
+    return _probed(q, store, centroids, nprobe)
+
+
 # ----------------------------------------------------------------------------- evidence pipeline
 
 def _store_cte() -> str:
