@@ -15,7 +15,6 @@ from veriscope.llm.components import components, local_roots
 from veriscope.llm.shingles import mix, shingle_sets
 
 TREES, DEPTH = 24, 7
-BINS = 20
 
 
 def signatures(sets: list[np.ndarray], seed: int) -> np.ndarray:
@@ -55,12 +54,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Equal sets are one class with a count.  A class's signature is a forest of tries:
     TREES sequences of DEPTH MinHash values, where classes that share a sequence's
-    prefix are candidates.  Prefixes start at full depth and are shortened by one
-    value, until the similar candidates, each weighted by its chance of being found at
-    this depth, say that the target recall is reached.  Up to here the share of equal
-    MinHash values stands for the similarity, so no text is moved; a trie node whose
-    members were together in a node before adds nothing and is left out.  Then texts
-    meet once: the members of each node of the last depth in blocks of about ``block_rows`` rows and
+    prefix are candidates.  Prefixes are as long as a pair of just the threshold's
+    similarity allows, if it is to be found with a chance of ``recall`` or more (0.8
+    and 0.9999: 5 values, 0.99993).  A trie node with the same members as another adds
+    nothing and is left out.  Then texts meet once: the members of each node in blocks of about ``block_rows`` rows and
     ``block_shingles`` shingles, where a task computes exact similarities and returns link counts and local roots,
     never pairs.  A pair that shares several nodes counts in the first tree only.
     Nodes of any size are handled, by more blocks.
@@ -92,21 +89,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = write_table(signed.where("n > 0").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig")), "classes")
     named = classes.where("rep is not null").select("rep", "copies", "sig", "n")
-    block = block_rows, block_shingles
-    seen, found, depth = None, np.zeros(BINS), DEPTH
-    middle = threshold + (np.arange(BINS) + 0.5) * (1 - threshold) / BINS
-    while True:
-        members, nodes = _nodes(named, depth)
-        new = nodes if seen is None else nodes.join(seen.hint("merge"), ["members", "x1", "x2"], "left_anti")
-        found += _candidates(members, new, named, depth, threshold, block)
-        expected = (found / found_share(middle, depth)).sum()
-        if depth == 1 or not expected or found.sum() >= recall * expected:
-            if found_share(threshold, depth) >= 0.99:       # few links prove little: the worst case must be likely too
-                break
-        marks = nodes.select("members", "x1", "x2")
-        seen = marks if seen is None else seen.unionByName(marks)
-        depth -= 1
-    links = _verified(rows, members, nodes, named, depth, threshold, words, block)
+    # The worst pair decides, whatever the other pairs of the table are; at depth 0 all classes meet.
+    depth = next(d for d in range(DEPTH, -1, -1) if found_share(threshold, d) >= recall)
+    members, nodes = _nodes(named, depth)
+    links = _verified(rows, members, nodes, named, depth, threshold, words, (block_rows, block_shingles))
 
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(links, "rep", "root").withColumnRenamed("id", "rep")
@@ -147,31 +133,6 @@ def _dealt(members: DataFrame, nodes: DataFrame, block: tuple[int, int]) -> Data
     return dealt.withColumn("pack", F.pmod("meeting", F.lit(packs)))
 
 
-def _candidates(members, nodes, named, depth, threshold, block) -> np.ndarray:
-    """Histogram of the estimated similarities of pairs that these nodes bring together for the first time."""
-    dealt = _dealt(members, nodes, block).join(named.select("rep", "sig").hint("merge"), "rep")
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        histogram = np.zeros(BINS, "i8")
-        for _, part in pdf.groupby("meeting", sort=False):
-            sig = np.frombuffer(b"".join(part["sig"]), "<u2").reshape(len(part), -1)
-            keys, longer = _prefixes(sig, depth), _prefixes(sig, depth + 1) if depth < DEPTH else None
-            tree = part["tree"].iat[0]
-            for i, j, share in _alike(sig, None if part["same"].iat[0] else part["own"].to_numpy(), threshold):
-                mine = _first(keys, i, j, tree)
-                if longer is not None:
-                    mine &= ~(longer[i] == longer[j]).any(1)
-                share = share[mine]
-                np.add.at(histogram, np.minimum(((share - threshold) / (1 - threshold) * BINS).astype(int), BINS - 1), 1)
-        bins = np.flatnonzero(histogram)
-        return pd.DataFrame({"bin": bins, "n": histogram[bins]})
-
-    out = np.zeros(BINS)
-    for r in dealt.groupBy("pack").applyInPandas(meet, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
-        out[r["bin"]] = r["n"]                             # BINS rows
-    return out
-
-
 def _verified(rows, members, nodes, named, depth, threshold, words, block) -> DataFrame:
     """(rep, links, root): exact links of the pairs that share a node, counted in the tasks where they meet."""
     dealt = write_table(_dealt(members, nodes, block), "dealt")
@@ -224,20 +185,6 @@ def _first(keys: np.ndarray, i: np.ndarray, j: np.ndarray, tree: int) -> np.ndar
     return out
 
 
-def _alike(sig: np.ndarray, own: np.ndarray | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, share of equal MinHash values) of pairs with a share of ``threshold`` or more.
-
-    Pairs are those inside a block, or, if ``own`` names two blocks, those between them."""
-    left = np.arange(len(sig) - 1) if own is None else np.flatnonzero(own == own.min())
-    right = None if own is None else np.flatnonzero(own != own.min())
-    for a in left.tolist():
-        others = np.arange(a + 1, len(sig)) if right is None else right
-        share = (sig[others] == sig[a]).mean(1)
-        ok = share >= threshold
-        if ok.any():
-            yield np.full(int(ok.sum()), a), others[ok], share[ok]
-
-
 def _links(part: pd.DataFrame, depth: int, threshold: float) -> pd.DataFrame | None:
     """Link counts and local roots of one meeting: a block with itself, or two blocks with each other."""
     sets = [np.frombuffer(x, np.uint64) for x in part["grams"]]
