@@ -14,8 +14,9 @@ Plan shape (exact and IVF):
 * the final top-k is a ``row_number`` window per query over the local candidates;
   Spark plans it with ``WindowGroupLimit`` so candidates are pruned before the shuffle.
 
-Scores are rounded to 6 decimals (half away from zero) before ranking; ties are
-broken by the smaller document id, so results are deterministic.
+Scores are rounded to ``decimals`` (6; half away from zero) before ranking; ties are
+broken by the smaller document id, so results are deterministic.  ``decimals=None``
+ranks raw scores and rounds them to 6 decimals afterwards.
 """
 
 from __future__ import annotations
@@ -35,9 +36,10 @@ _NO_DOC = np.iinfo(np.int64).max
 RECALL = 0.9
 
 
-def round6(x: np.ndarray) -> np.ndarray:
+def round6(x: np.ndarray, decimals: int = 6) -> np.ndarray:
     """Round half away from zero to 6 decimals (matches SQL ROUND on these values)."""
-    return np.sign(x) * np.floor(np.abs(x) * 1e6 + 0.5) / 1e6
+    unit = 10.0 ** decimals
+    return np.sign(x) * np.floor(np.abs(x) * unit + 0.5) / unit
 
 
 def _as_matrix(col: pd.Series, dim: int | None = None) -> np.ndarray:
@@ -87,8 +89,9 @@ class _TopK:
     formula as the SQL oracle, so integer count vectors give identical doubles.
     """
 
-    def __init__(self, q: np.ndarray, qids: np.ndarray, k: int, metric: str, chunk_cells: int = 1 << 22):
-        self.q, self.qids, self.k, self.metric = q, qids, k, metric
+    def __init__(self, q: np.ndarray, qids: np.ndarray, k: int, metric: str, chunk_cells: int = 1 << 22,
+                 decimals: int | None = 6):
+        self.q, self.qids, self.k, self.metric, self.decimals = q, qids, k, metric, decimals
         self.qn2 = (q * q).sum(axis=1)
         self.s = np.full((len(qids), k), -np.inf)
         self.d = np.full((len(qids), k), _NO_DOC, dtype=np.int64)
@@ -106,7 +109,7 @@ class _TopK:
                 den = np.sqrt(qn2[:, None] * (dm * dm).sum(axis=1)[None, :])
                 with np.errstate(invalid="ignore", divide="ignore"):
                     raw = np.where(den > 0, raw / np.where(den > 0, den, 1.0), 0.0)
-            s = round6(raw)
+            s = raw if self.decimals is None else round6(raw, self.decimals)
             d = np.broadcast_to(di, s.shape)
             if rows is None:
                 self.s, self.d = merge_topk(self.s, self.d, s, d, self.k)
@@ -122,7 +125,7 @@ class _TopK:
 
 def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                           qid: str, did: str, qvec: str, dvec: str,
-                          probes: str | None, cell: str | None) -> DataFrame:
+                          probes: str | None, cell: str | None, decimals: int | None) -> DataFrame:
     spark = store.sparkSession
     qcols = [F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v")]
     if probes:
@@ -141,7 +144,7 @@ def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric:
 
     def local_topk(batches):
         qm, ids, pmap = bc.value
-        top = _TopK(qm, ids, k, metric)
+        top = _TopK(qm, ids, k, metric, decimals=decimals)
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -172,7 +175,7 @@ def _broadcast_candidates(queries: DataFrame, store: DataFrame, k: int, metric:
 def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: str,
                         qid: str, did: str, qvec: str, dvec: str,
                         probes: str | None, cell: str | None,
-                        max_query_rows: int, max_store_rows: int) -> DataFrame:
+                        max_query_rows: int, max_store_rows: int, decimals: int | None) -> DataFrame:
     if probes:
         # Probed cells: at most nlist values, so they are collected and used as a partition filter.
         needed = [r[0] for r in queries.select(F.explode(probes)).distinct().collect()]
@@ -206,7 +209,7 @@ def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: st
                                  "score": pd.Series([], dtype="float64")})
         qm = _as_matrix(qs["v"])
         dm = _as_matrix(docs["v"], qm.shape[1])
-        top = _TopK(qm, qs["qid"].to_numpy(dtype=np.int64), k, metric)
+        top = _TopK(qm, qs["qid"].to_numpy(dtype=np.int64), k, metric, decimals=decimals)
         top.add(dm, docs["did"].to_numpy(dtype=np.int64))
         return top.frame()
 
@@ -227,7 +230,7 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
              dvec: str = "embedding", probes: str | None = None, cell: str | None = None,
              method: str = "auto", broadcast_budget_bytes: int = 256 << 20,
              max_store_rows: int | None = None, dim: int | None = None,
-             group_budget_bytes: int = 128 << 20) -> DataFrame:
+             group_budget_bytes: int = 128 << 20, decimals: int | None = 6) -> DataFrame:
     """Exact (or IVF when ``probes``/``cell`` are given) top-k store rows per query.
 
     The query side is broadcast only when its estimated size (rows x dim) fits the
@@ -249,27 +252,29 @@ def knn_topk(queries: DataFrame, store: DataFrame, k: int = 10, metric: str = "c
     if method == "auto":
         method = "broadcast" if est <= broadcast_budget_bytes else "blocked"
     if method == "broadcast":
-        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell)
+        cand = _broadcast_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell, decimals)
     elif method == "blocked":
         max_query_rows = max(1, broadcast_budget_bytes // (dim * 8 + 64))
         max_store_rows = max_store_rows or max(1, group_budget_bytes // (dim * 8 + 64))
         cand = _blocked_candidates(queries, store, k, metric, qid, did, qvec, dvec, probes, cell,
-                                   max_query_rows, max_store_rows)
+                                   max_query_rows, max_store_rows, decimals)
     else:
         raise ValueError(f"unknown method {method!r}")
     out = final_topk(cand, k)
-    return out.select(F.col("qid").alias(qid), F.col("did").alias(did), "score", F.col("rank").cast("int"))
+    score = F.round("score", 6).alias("score") if decimals is None else "score"
+    return out.select(F.col("qid").alias(qid), F.col("did").alias(did), score, F.col("rank").cast("int"))
 
 
 def topk_single(store: DataFrame, vector: list[float], k: int = 10, metric: str = "cosine",
-                did: str = "doc_id", dvec: str = "embedding") -> DataFrame:
+                did: str = "doc_id", dvec: str = "embedding", decimals: int | None = 6) -> DataFrame:
     """Top-k for one query vector: a per-row expression and TakeOrdered (no shuffle of rows)."""
     qv = F.array(*[F.lit(float(x)).cast("double") for x in vector])
     sim = cosine_expr(F.col(dvec), qv) if metric == "cosine" else dot_expr(F.col(dvec), qv)
-    scored = store.filter(F.col(dvec).isNotNull()).withColumn("score", F.round(sim, 6))
+    scored = store.filter(F.col(dvec).isNotNull()).withColumn("score", sim if decimals is None else F.round(sim, decimals))
     top = scored.orderBy(F.col("score").desc(), F.col(did).asc()).limit(k)
     w = Window.orderBy(F.col("score").desc(), F.col(did).asc())
-    return top.withColumn("rank", F.row_number().over(w).cast("int"))
+    ranked = top.withColumn("rank", F.row_number().over(w).cast("int"))
+    return ranked.withColumn("score", F.round("score", 6)) if decimals is None else ranked
 
 
 # --------------------------------------------------------------------------- IVF

@@ -110,9 +110,9 @@ class EvidenceStore:
         row = self.spark.range(1).select(self.embed(F.lit(text)).alias("v")).first()
         return list(row["v"])
 
-    def top_k(self, phrase: str, k: int = TOP_K) -> DataFrame:
+    def top_k(self, phrase: str, k: int = TOP_K, decimals: int | None = 6) -> DataFrame:
         """Best k documents for one phrase."""
-        return knn.topk_single(self.read(), self.embed_query(phrase), k, self.similarity)
+        return knn.topk_single(self.read(), self.embed_query(phrase), k, self.similarity, decimals=decimals)
 
     def top_k_batch(self, queries: DataFrame, k: int = TOP_K, qid: str = "claim_id",
                     text: str = "claim", **kw) -> DataFrame:
