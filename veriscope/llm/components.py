@@ -48,6 +48,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return roots.unionByName(roots.select(F.col("component").alias("id"), "component")).distinct()
 
 
+def least_names(joined: DataFrame, names: DataFrame) -> DataFrame:
+    """(rep, component): the least name in each node's component, from (id, component) and (rep, least)."""
+    each = write_table(joined.join(names, joined["id"] == names["rep"]).select("rep", "component", "least"), "members")
+    least = each.groupBy("component").agg(F.min("least").alias("name"))
+    return each.join(least, "component").select("rep", F.col("name").alias("component"))
+
+
 def _hang(pairs: DataFrame, which) -> DataFrame:
     """Edges from each node's chosen neighbours to the least of them and itself."""
     least = write_table(pairs.groupBy("a").agg(F.min("b").alias("m"))

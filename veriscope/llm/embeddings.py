@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriscope.llm.common import write_table
-from veriscope.llm.components import components, local_roots
+from veriscope.llm.components import components, least_names, local_roots
 
 
 def calibrate(threshold: float, n_projections: int, width: float, miss: float) -> tuple[float, int]:
@@ -53,8 +53,9 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fit = rows.where(F.col("g").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
     keyed = fit.select("id", "g", "v", F.xxhash64("g", "v").alias("k1"), F.xxhash64(F.lit(1), "v", "g").alias("k2"))
-    reps = keyed.where("id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    reps = write_table(reps, "reps")
+    reps = keyed.where("id is not null").groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    # A class goes by a number of its own: an id repeated with different vectors names several classes.
+    reps = write_table(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
     half, least = calibrate(threshold, n_projections, width, miss)
     strip_width = guard * sqrt(max(2 - 2 * threshold, 1e-12))
 
@@ -65,7 +66,7 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             yield pd.DataFrame({"rep": b["rep"], "copies": b["copies"], "part": b["part"], "v": b["v"],
                                 "strip": np.floor(np.array(x0) / strip_width).astype("i8")})
 
-    first = (keyed.join(reps, ["k1", "k2"]).where("id = rep").dropDuplicates(["rep"])
+    first = (keyed.join(reps, ["k1", "k2"]).where("id = least").dropDuplicates(["rep"])
              .select("rep", "copies", F.concat_ws("|", F.col("g").cast("string"), F.size("v").cast("string")).alias("part"), "v"))
     placed = write_table(first.mapInPandas(project, "rep long, copies long, part string, v array<double>, strip long"),
                          "strips")
@@ -112,10 +113,10 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = write_table(dealt.groupBy("part", "s1", "b1", "s2", "b2").applyInPandas(
         meet, "rep long, links long, root long"), "links")
     counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(found, "rep", "root")
-    classes = write_table(reps.join(counted, "rep", "left").join(joined, reps["rep"] == joined["id"], "left").select(
+    joined = least_names(components(found, "rep", "root"), reps.select("rep", "least"))
+    classes = write_table(reps.join(counted, "rep", "left").join(joined, "rep", "left").select(
         "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id")), "classes")
+        F.coalesce("component", "least").alias("component_id")), "classes")
     linked = keyed.select("id", "k1", "k2").join(classes, ["k1", "k2"]).select("id", "n_links", "component_id")
     alone = rows.where(F.col("g").isNull() | F.col("v").isNull() | F.coalesce(bad, F.lit(False))
                        | ~F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))).select(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriscope.llm.common import documents, write_table
-from veriscope.llm.components import components, local_roots
+from veriscope.llm.components import components, least_names, local_roots
 from veriscope.llm.shingles import mix, shingle_sets
 
 TREES, DEPTH = 24, 7
@@ -80,28 +80,30 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             at = dict(zip(some, range(len(some))))
             marks = np.array([x[:2] for x in sums], np.uint64).reshape(-1, 2).view("i8")
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array([x[2] for x in sums], pa.int32()),
+                b.column(0), b.column(1), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array([x[2] for x in sums], pa.int32()),
                 pa.array([sig[at[i]].tobytes() if i in at else None for i in range(len(sums))], pa.binary())],
-                ["doc_id", "m1", "m2", "n", "sig"])
+                ["doc_id", "text", "m1", "m2", "n", "sig"])
 
-    signed = write_table(rows.mapInArrow(sign, "doc_id long, m1 long, m2 long, n int, sig binary"), "signed")
+    signed = write_table(rows.mapInArrow(sign, "doc_id long, text string, m1 long, m2 long, n int, sig binary"), "signed")
     key = ["m1", "m2", "n"]
     classes = write_table(signed.where("n > 0").groupBy(*key).agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig")), "classes")
-    named = classes.where("rep is not null").select("rep", "copies", "sig", "n")
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    # A class goes by a number of its own: a doc_id repeated with different texts names several classes.
+    named = classes.where("least is not null").select("rep", "copies", "sig", *key, "least")
     # The worst pair decides, whatever the other pairs of the table are; at depth 0 all classes meet.
     depth = next(d for d in range(DEPTH, -1, -1) if found_share(threshold, d) >= recall)
     members, nodes = _nodes(named, depth)
-    links = _verified(rows, members, nodes, named, depth, threshold, words, (block_rows, block_shingles))
+    links = _verified(signed, members, nodes, named, depth, threshold, words, (block_rows, block_shingles))
 
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(links, "rep", "root").withColumnRenamed("id", "rep")
+    joined = least_names(components(links, "rep", "root"), classes.select("rep", "least"))
     result = write_table(classes.join(counted, "rep", "left").join(joined, "rep", "left").select(
-        *key, "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("class_id")), "joined")
+        *key, "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "least").alias("class_id")), "joined")
     out = signed.select("doc_id", *key).join(result, key, "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-                      F.coalesce("rep", "doc_id").alias("copy_id"), F.col("n").alias("n_shingles"),
+                      F.coalesce("least", "doc_id").alias("copy_id"), F.col("n").alias("n_shingles"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
@@ -133,13 +135,14 @@ def _dealt(members: DataFrame, nodes: DataFrame, block: tuple[int, int]) -> Data
     return dealt.withColumn("pack", F.pmod("meeting", F.lit(packs)))
 
 
-def _verified(rows, members, nodes, named, depth, threshold, words, block) -> DataFrame:
+def _verified(signed, members, nodes, named, depth, threshold, words, block) -> DataFrame:
     """(rep, links, root): exact links of the pairs that share a node, counted in the tasks where they meet."""
     dealt = write_table(_dealt(members, nodes, block), "dealt")
-    wanted = named.select("rep", "copies", "sig").join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
-    # Texts are shuffled once, by document; the rest of this chain keeps that partitioning.
-    texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    texts = texts.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep").join(wanted.hint("merge"), "rep")
+    wanted = named.withColumnRenamed("least", "doc_id").join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
+    # All texts are shuffled once, by document and digest; those wanted once more, by class.
+    key = ["doc_id", "m1", "m2", "n"]
+    texts = signed.select(*key, "text").join(wanted.select(*key).hint("merge"), key, "left_semi")
+    texts = texts.dropDuplicates(key).join(wanted.hint("merge"), key).select("rep", "text", "copies", "sig")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, grams = None, None
