@@ -122,16 +122,25 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def spread_slices(ids: bytes, most: int = 4096, slices: int = 16) -> bytes:
+    """At most ``most`` u32 ids of a document: all, or equal slices spread from its start to its end."""
+    n, width = len(ids) // 4, most // slices
+    if n <= most:
+        return ids
+    starts = [(n - width) * i // (slices - 1) for i in range(slices)]
+    return b"".join(ids[4 * s:4 * (s + width)] for s in starts)
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, samples: int, size: int) -> bytes:
     """A zstandard dictionary over serialized ids of at most ``samples`` documents (least hash of
-    doc_id and text first), each counted with at most 4,096 ids; b"" if there is too little to train on."""
+    doc_id and text first), each counted with at most 4,096 ids in slices spread over it; b"" if there is too little to train on."""
     import zstandard
     chosen = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(samples)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = _encoder(tokenizer), struct.pack("<I", end_id)
         for b in batches:
-            yield pd.DataFrame({"ids": [(enc.ids(t) + end)[:16384] for t in b["text"]]})
+            yield pd.DataFrame({"ids": [spread_slices(enc.ids(t) + end) for t in b["text"]]})
 
     rows = [r["ids"] for r in chosen.select("text").mapInPandas(encode, "ids binary").collect()]
     try:
