@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriscope.llm import decontam, embeddings, jaccard, lines, mixing, quality, shards, suffix, tokens, urls
+from veriscope.llm import (alignment, decontam, embeddings, jaccard, lines, mixing, packing, phrases, quality, shards, suffix,
+                           tokens, urls)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +80,27 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def public_file(name: str) -> str:
+    """A vocabulary file: in the folder $VERISCOPE_TOKENIZERS, else the installed public one (present on every node)."""
+    import public_tokenizers
+    folder = os.environ.get("VERISCOPE_TOKENIZERS")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"),
+                                  public_file("piece_bpe_32k.model"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = packing.write_sequences(_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
+    return packing.sequences(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -90,4 +112,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_tokens": op9_tokens,
     "op10_mixing": op10_mixing,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_packing": op13_packing,
 }

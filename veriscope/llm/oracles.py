@@ -69,5 +69,29 @@ SELECT doc_id, size, s::BIGINT AS source_size, target,
        (size * (whole + CASE WHEN extra > 0 AND upto - size / 2 <= extra THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM f"""
 
+COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, len(k.g) AS m, array_to_string(k.g, ' ') AS phrase, k.g AS g, count(*) AS f
+      FROM (SELECT lang, unnest([{'g': w[i:i]}, {'g': CASE WHEN i + 1 <= len(w) THEN w[i:i+1] END},
+                                 {'g': CASE WHEN i + 2 <= len(w) THEN w[i:i+2] END}]) AS k FROM i)
+      WHERE k.g IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, g, f AS a, unnest(range(1, m)) AS k FROM g WHERE m > 1 AND f >= 10),
+s AS (SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+             (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+      FROM c JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
+             JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k+1:len(c.g)], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (SELECT lang, phrase, max(f) AS f FROM (SELECT lang, f, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS phrase
+                                            FROM g WHERE m = 3 AND f >= 10) GROUP BY ALL),
+t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE coalesce(100 * h.f < 50 * b.a, true))
+SELECT t.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n.n::BIGINT AS n, score::BIGINT AS score
+FROM t JOIN n ON n.lang = t.lang WHERE rank <= 2000"""
+
 ORACLES = {"op1_line_dedup": LINES, "op3_url_filters": URLS, "op4_decontamination": DECONTAMINATION,
-           "op10_mixing": MIXING}
+           "op10_mixing": MIXING, "op12_collocations": COLLOCATIONS}
