@@ -190,16 +190,15 @@ def test_phrase_chunks_cut_nothing():
         got = collections.Counter()
         for data, starts in phrases.chunks(pa.array(texts), size):
             words = phrases.Words(data, starts)
-            got.update(words.text(i, 2).decode() for i in words.places(2))
+            got.update(x.decode() for x in words.texts(words.places(2), 2))
         assert got == want
 
 
 def test_colliding_words_are_told_apart():
-    data = np.frombuffer(b"aa bb aa cc bb " * 3, np.uint8)
-    words = phrases.Words(data, np.array([0]))
+    words = phrases.Words(b"aa bb aa cc bb " * 3, np.array([0]))
     words.hash = np.full(len(words), 7, np.uint64)
     number = words.numbers()
-    texts = [words.text(i, 1) for i in range(len(words))]
+    texts = words.texts(np.arange(len(words)), 1)
     assert len({*zip(number.tolist(), texts)}) == len(set(texts)) == len(set(number.tolist()))
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ MAP = bytes(10 if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 els
 #: Odd bases of the two polynomials, modulo 2^64 (any odd values do).
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Bytes of text hashed at a time, and n-grams a task sums before it hands them on.
-CHUNK, HELD = 1 << 20, 1 << 21
+CHUNK, HELD = 1 << 19, 1 << 21
 PROBES = 4
 SEGMENTS = 64
 U64 = np.uint64
@@ -70,8 +71,9 @@ class Words:
 
     ``bits`` below 64 weakens the fingerprints, so that tests can force collisions."""
 
-    def __init__(self, data: np.ndarray, doc_starts: np.ndarray, bits: int = 64):
-        self.data, self.bits = data, bits
+    def __init__(self, blob: bytes, doc_starts: np.ndarray, lang: str = "", bits: int = 64):
+        self.blob, self.bits, self.salt = blob, bits, zlib.crc32(lang.encode()) << 8
+        self.data = data = np.frombuffer(blob, np.uint8)
         inside = (data != 32) & (data != 10)
         first = inside.copy()
         first[1:] &= ~inside[:-1]
@@ -99,7 +101,7 @@ class Words:
 
     def prints(self, n: int, at: np.ndarray) -> np.ndarray:
         """Fingerprints of the n-grams at these words."""
-        out = _mix((self.sums[at + n] - self.sums[at]) * self.down[at] + U64(n))
+        out = _mix((self.sums[at + n] - self.sums[at]) * self.down[at] + U64(self.salt + n))
         return out & U64((1 << self.bits) - 1) if self.bits < 64 else out
 
     def numbers(self) -> np.ndarray:
@@ -117,14 +119,20 @@ class Words:
             live = live[~differ]
         if not same.all():                                       # a collision: number the texts themselves
             seen: dict[bytes, int] = {}
-            number = np.array([seen.setdefault(self.text(i, 1), len(seen)) for i in range(len(self))], np.int64)
+            number = np.array([seen.setdefault(x, len(seen)) for x in self.texts(np.arange(len(self)), 1)], np.int64)
         return number.astype(np.int64)
 
-    def text(self, at: int, n: int) -> bytes:
-        return b" ".join(self.data[self.start[i]:self.end[i]].tobytes() for i in range(at, at + n))
+    def texts(self, at: np.ndarray, n: int) -> list[bytes]:
+        """The n-grams at these words, with one space between words."""
+        lo, hi, blob = self.start[at], self.end[at + n - 1], self.blob
+        out = [blob[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+        gaps = hi - lo - sum(self.end[at + k] - self.start[at + k] for k in range(n))
+        for i in np.flatnonzero(gaps != n - 1).tolist():
+            out[i] = b" ".join(x for x in out[i].split(b" ") if x)
+        return out
 
 
-def chunks(texts: pa.StringArray | pa.LargeStringArray, size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def chunks(texts: pa.StringArray | pa.LargeStringArray, size: int = CHUNK) -> Iterator[tuple[bytes, np.ndarray]]:
     """Normalised bytes of the texts, about ``size`` at a time, with the documents' starts.
 
     A text is cut only where a piece ends, so memory follows the longest piece."""
@@ -146,8 +154,7 @@ def chunks(texts: pa.StringArray | pa.LargeStringArray, size: int = CHUNK) -> It
                     cut = raw[hi:more].to_pybytes().translate(MAP).find(b"\n")
                     cut, hi = (cut + hi - lo, hi) if cut >= 0 else (-1, more)
                 hi = lo + cut + 1 if cut >= 0 else end
-        data = np.frombuffer(raw[lo:hi].to_pybytes().translate(MAP), np.uint8)
-        yield data, at[(at >= lo) & (at < hi)] - lo
+        yield raw[lo:hi].to_pybytes().translate(MAP), at[(at >= lo) & (at < hi)] - lo
         lo = hi
 
 
@@ -166,36 +173,31 @@ class Bloom:
         self.bits = bits
 
     @staticmethod
-    def slots(prints: np.ndarray, size: int) -> Iterator[np.ndarray]:
-        step = _mix(prints ^ U64(0xA5A5A5A5A5A5A5A5)) | U64(1)
-        for k in range(PROBES):
-            yield (prints + U64(k) * step) & U64(size - 1)
+    def slot(prints: np.ndarray, k: int, size: int) -> np.ndarray:
+        """The k-th bit of each fingerprint: two halves of it, the second one k times."""
+        return (prints + U64(k) * (prints >> U64(32) | U64(1))) & U64(size - 1)
 
     def holds(self, prints: np.ndarray) -> np.ndarray:
-        out = np.ones(len(prints), bool)
-        for s in self.slots(prints, 8 * len(self.bits)):
-            out &= (self.bits[(s >> U64(3)).astype(np.int64)] >> (s & U64(7)).astype(np.uint8) & 1).astype(bool)
+        live = np.arange(len(prints))
+        for k in range(PROBES):
+            s = self.slot(prints[live], k, 8 * len(self.bits))
+            live = live[(self.bits[(s >> U64(3)).astype(np.int64)] >> (s & U64(7)).astype(np.uint8) & 1).astype(bool)]
+        out = np.zeros(len(prints), bool)
+        out[live] = True
         return out
 
 
-def _salted(prints: np.ndarray, lang: str, n: int) -> np.ndarray:
-    """Fingerprints as the filter takes them: with language and length."""
-    import zlib
-    return _mix(prints + U64(zlib.crc32(lang.encode()) * 64 + n))
-
-
 def build_filter(frequent: DataFrame, bits: int) -> Bloom:
-    """The filter of (lang, n, fp): every task sets bits of its rows, segments are joined by bit_or."""
+    """The filter of the column fp: every task sets bits of its rows, segments are joined by bit_or."""
     segment = bits // 8 // SEGMENTS
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(bits // 8, np.uint8)
         for b in batches:
-            keys = pa.table({"lang": b.column(0), "n": b.column(1)}).group_by(["lang", "n"]).aggregate([])
-            langs, lengths, prints = np.asarray(b.column(0)), np.asarray(b.column(1)), np.asarray(b.column(2)).view(U64)
-            for lang, n in zip(keys["lang"].to_pylist(), keys["n"].to_pylist()):
-                for s in Bloom.slots(_salted(prints[(langs == lang) & (lengths == n)], lang, n), bits):
-                    np.bitwise_or.at(own, (s >> U64(3)).astype(np.int64), U64(1).astype(np.uint8) << (s & U64(7)).astype(np.uint8))
+            prints = np.asarray(b.column(0)).view(U64)
+            for k in range(PROBES):
+                s = Bloom.slot(prints, k, bits)
+                np.bitwise_or.at(own, (s >> U64(3)).astype(np.int64), np.uint8(1) << (s & U64(7)).astype(np.uint8))
         parts = own.reshape(SEGMENTS, segment)
         full = np.flatnonzero(parts.any(1))
         if len(full):
@@ -212,7 +214,7 @@ def build_filter(frequent: DataFrame, bits: int) -> Bloom:
                                               "bits": pa.array([x.tobytes() for x in own.values()], pa.binary())})
 
     shape = "segment int, bits binary"
-    rows = (frequent.select("lang", "n", "fp").mapInArrow(mark, shape)
+    rows = (frequent.select("fp").mapInArrow(mark, shape)
             .repartition(8, "segment").mapInArrow(join, shape).collect())      # bits / 8 bytes in all, a fixed size
     out = np.zeros((SEGMENTS, segment), np.uint8)
     for r in rows:
@@ -220,91 +222,77 @@ def build_filter(frequent: DataFrame, bits: int) -> Bloom:
     return Bloom(out.reshape(-1))
 
 
-COUNTS = "lang string, n int, fp long, f long"
-
-
 def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) -> DataFrame:
-    """(lang, n, fp, f) of all n-grams of these lengths; with ``known`` (a broadcast filter), of those
-    whose two shorter n-grams may be frequent.  Rows of n = 0 hold each language's number of words."""
+    """(fp, f) of all n-grams of these lengths; with ``known`` (a broadcast filter), of those whose two
+    shorter n-grams may be frequent.  A fingerprint holds language and length too."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list[np.ndarray]] = {}
-        total: dict[str, int] = {}
+        held: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, n), prints in held.items():
-                fp, f = np.unique(np.concatenate(prints), return_counts=True)
-                for lo in range(0, len(fp), 1 << 16):
-                    part = fp[lo:lo + (1 << 16)]
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([lang] * len(part), pa.string()), "n": pa.array(np.full(len(part), n, np.int32)),
-                        "fp": pa.array(part.view(np.int64)), "f": pa.array(f[lo:lo + (1 << 16)])})
+            fp, f = np.unique(np.concatenate(held), return_counts=True)
+            for lo in range(0, len(fp), 1 << 16):
+                yield pa.RecordBatch.from_pydict({"fp": pa.array(fp[lo:lo + (1 << 16)].view(np.int64)),
+                                                  "f": pa.array(f[lo:lo + (1 << 16)].astype(np.int64))})
 
         for b in batches:
             for lang, texts in _by_lang(b):
-                for data, starts in chunks(texts):
-                    words = Words(data, starts, bits)
-                    if 1 in lengths:
-                        total[lang] = total.get(lang, 0) + len(words)
+                for blob, starts in chunks(texts):
+                    words = Words(blob, starts, lang, bits)
                     for n in lengths:
                         at = words.places(n)
-                        if known is not None and n > 2:
-                            likely = known.value.holds(_salted(words.prints(n - 1, every := words.places(n - 1)), lang, n - 1))
+                        if known is not None:
+                            every = words.places(n - 1)
                             fits = np.zeros(len(words) + 1, bool)
-                            fits[every[likely]] = True
+                            fits[every[known.value.holds(words.prints(n - 1, every))]] = True
                             at = at[fits[at] & fits[at + 1]]
-                        if len(at):
-                            held.setdefault((lang, n), []).append(words.prints(n, at))
-                            size += len(at)
+                        held.append(words.prints(n, at))
+                        size += len(at)
                     if size >= HELD:
                         yield from flush()
-                        held, size = {}, 0
-        yield from flush()
-        yield pa.RecordBatch.from_pydict({
-            "lang": pa.array(total, pa.string()), "n": pa.array([0] * len(total), pa.int32()),
-            "fp": pa.array([0] * len(total), pa.int64()), "f": pa.array(total.values(), pa.int64())})
+                        held, size = [], 0
+        if size:
+            yield from flush()
 
-    return docs.mapInArrow(count, COUNTS).groupBy("lang", "n", "fp").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(count, "fp long, f long").groupBy("fp").agg(F.sum("f").alias("f"))
 
 
 def count_texts(docs: DataFrame, longest: int, bits: int, known) -> DataFrame:
-    """(lang, n, phrase, f): exact counts of all phrases that the filter lets through."""
+    """(lang, n, phrase, f): exact counts of all phrases that the filter lets through, and rows of n = 0 with
+    each language's number of words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], dict[bytes, int]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, n), found in held.items():
-                keys = list(found)
+                keys, counts = list(found), list(found.values())
                 for lo in range(0, len(keys), 1 << 15):
                     part = keys[lo:lo + (1 << 15)]
                     yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([lang] * len(part), pa.string()), "n": pa.array(np.full(len(part), n, np.int32)),
-                        "phrase": pa.array([k.decode() for k in part], pa.string()),
-                        "f": pa.array([found[k] for k in part], pa.int64())})
+                        "lang": pa.repeat(pa.scalar(lang, pa.string()), len(part)), "n": pa.repeat(pa.scalar(n, pa.int32()), len(part)),
+                        "phrase": pa.array(part, pa.binary()).cast(pa.string()), "f": pa.array(counts[lo:lo + (1 << 15)], pa.int64())})
 
         for b in batches:
             for lang, texts in _by_lang(b):
-                for data, starts in chunks(texts):
-                    words = Words(data, starts, bits)
+                for blob, starts in chunks(texts):
+                    words = Words(blob, starts, lang, bits)
+                    total = held.setdefault((lang, 0), {b"": 0})
+                    total[b""] += len(words)
                     number = words.numbers()
                     base, code = int(number.max(initial=0)) + 1, number    # code: equal exactly where the n words are equal
                     for n in range(1, longest + 1):
                         if n > 1:
-                            code = code[:max(0, len(words) - n + 1)]
-                            _, code = np.unique(code, return_inverse=True)
+                            _, code = np.unique(code[:max(0, len(words) - n + 1)], return_inverse=True)
                             code = code * base + number[n - 1:]
                         at = words.places(n)
-                        at = at[known.value.holds(_salted(words.prints(n, at), lang, n))]
-                        if not len(at):
-                            continue
+                        at = at[known.value.holds(words.prints(n, at))]
                         _, first, f = np.unique(code[at], return_index=True, return_counts=True)
                         found = held.setdefault((lang, n), {})
-                        for i, k in zip(at[first].tolist(), f.tolist()):
-                            text = words.text(i, n)
+                        for text, k in zip(words.texts(at[first], n), f.tolist()):
                             found[text] = found.get(text, 0) + k
-            if sum(map(len, held.values())) >= HELD // 4:
-                yield from flush()
-                held = {}
+                    if sum(map(len, held.values())) >= HELD // 4:
+                        yield from flush()
+                        held = {}
         yield from flush()
 
     return (docs.mapInArrow(count, "lang string, n int, phrase string, f long")
@@ -320,18 +308,13 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, lang_col:
         raise ValueError("filter_bits must be a power of two, 512 or more")
     spark = docs.sparkSession
     read = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    levels, totals, known = [], None, None
+    levels, known = [], None
     for n in range(2, max(2, longest) + 1):
         counts = count_prints(read, [1, 2] if n == 2 else [n], print_bits, known)
-        if n == 2:
-            counts = write_table(counts.where((F.col("f") >= least) | (F.col("n") == 0)), "prints")
-            totals = counts.where("n = 0").select("lang", F.col("f").alias("n"))
-            levels.append(counts.where("n > 0"))
-        else:
-            levels.append(write_table(counts.where(F.col("f") >= least), "prints"))
+        levels.append(write_table(counts.where(F.col("f") >= least), "prints"))
         known = spark.sparkContext.broadcast(build_filter(functools.reduce(DataFrame.unionByName, levels), filter_bits))
-    texts = write_table(count_texts(read, longest, print_bits, known).where(F.col("f") >= least), "phrases")
-    return texts, totals
+    counts = write_table(count_texts(read, longest, print_bits, known).where((F.col("f") >= least) | (F.col("n") == 0)), "phrases")
+    return counts.where("n > 0"), counts.where("n = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(phrases: DataFrame, longest: int = 3, least: int = 10, covered: int = 50) -> DataFrame:
