@@ -20,7 +20,10 @@ from veriscope.operators.numbering import dense_index
 from veriscope.operators.verify import verdicts
 from veriscope.sources.scan import written
 from veriscope.sources.store import EvidenceStore
-from veriscope.sources.works import append_table, flatten_works, read_works_csv, read_works_pages, write_works
+from veriscope.sources.manifest import BatchTable
+from veriscope.sources.works import (
+    append_table, flatten_works, land_works_csv, read_works_csv, read_works_pages, skip_done, write_works,
+)
 
 
 def build_corpus(spark: SparkSession, pages_dir: str, groups, out: str | None = None,
@@ -42,6 +45,26 @@ def enrich_corpus(spark: SparkSession, works_csv: str, papers: DataFrame, out: s
     return enriched
 
 
+ENRICHED = ("openalex_id string, doi string, title string, year int, paperId string, citationCount int, "
+            "influentialCitationCount int, abstract string")
+
+
+def enrich_resumable(spark: SparkSession, works_csv: str, papers: DataFrame, landed: BatchTable, out: BatchTable,
+                     parts: int = 64, limit: int | None = None, name: str = "works") -> int:
+    """C2 that can be killed and run again: the CSV is landed once, then enriched part by part, each part a
+    committed batch of ``out``.  Parts that are there are not computed again, works that an earlier batch
+    holds are skipped (S6), and ``limit`` ends a call after that many new parts.  Returns the new parts."""
+    works = land_works_csv(read_works_csv(spark, works_csv), landed, parts, name)
+    done, new = out.committed(), 0
+    for part in range(parts):
+        batch = f"{name}/{part:05d}"
+        if batch in done or limit is not None and new >= limit:
+            continue
+        rows = normalize_works(works.where(F.col("part") == part).drop("part"))
+        new += out.append(batch, lambda: enrich_by_doi(skip_done(rows, out.read(), "openalex_id"), papers))
+    return new
+
+
 def index_abstracts(works: DataFrame, store: EvidenceStore, gate: bool = True,
                     keep: list[str] | None = None, scorer=None) -> None:
     """Works -> documents -> (topic gate) -> store (dedupe, skip stored, embed)."""

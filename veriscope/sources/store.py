@@ -17,6 +17,7 @@ from veriscope.constants import HASH_DIM, TOP_K
 from veriscope.functions.text import doc_key, embed_input
 from veriscope.functions.vectors import hash_embedding
 from veriscope.operators import knn
+from veriscope.sources.keys import BucketFilters, bucket_of, stored_keys
 from veriscope.sources.scan import written
 
 
@@ -55,11 +56,20 @@ class EvidenceStore:
     """``write_documents``, ``top_k`` (one phrase) and ``top_k_batch`` (many)."""
 
     def __init__(self, spark: SparkSession, path: str, dim: int = HASH_DIM, similarity: str = "cosine",
-                 embed: Callable[[Column], Column] | None = None, recreate: bool = False):
+                 embed: Callable[[Column], Column] | None = None, recreate: bool = False,
+                 buckets: int | None = None):
+        """``buckets`` files rows by a hash of their key, with a Bloom filter for each
+        bucket beside the store, so that a batch reads only the keys of buckets that may
+        hold one of its own (256 and more at scale; a store keeps the number it began with)."""
         self.spark, self.path, self.dim, self.similarity = spark, path, dim, similarity
         self.embed = embed or (lambda c: hash_embedding(c, dim))
+        self.filters = BucketFilters(spark, f"{path.rstrip('/')}-filters", buckets) if buckets else None
         if recreate:       # S8: drop and recreate
-            self._empty().write.mode("overwrite").parquet(path)
+            if self.filters:
+                self._empty().withColumn("bucket", F.lit(0)).write.mode("overwrite").partitionBy("bucket").parquet(path)
+                self.filters.clear()
+            else:
+                self._empty().write.mode("overwrite").parquet(path)
 
     def _empty(self) -> DataFrame:
         schema = ("doc_key string, doc_id long, content string, "
@@ -76,7 +86,12 @@ class EvidenceStore:
 
     def read(self) -> DataFrame:
         """Open the store (empty when it does not exist yet)."""
-        return self.spark.read.parquet(self.path) if self.exists() else self._empty()
+        return self._open().drop("bucket") if self.exists() else self._empty()
+
+    def _open(self) -> DataFrame:
+        if not self.filters:
+            return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(self._empty().withColumn("bucket", F.lit(0)).schema).parquet(self.path)
 
     def prepare(self, docs: DataFrame) -> DataFrame:
         """Add key and id; ``docs`` has ``content``, ``meta`` and optionally ``doc_id``."""
@@ -91,16 +106,33 @@ class EvidenceStore:
         """S7 without the write: dedupe, skip stored keys, embed the missing vectors.
 
         The keyed batch is written once, so its input runs once however often it is read."""
-        existing = self.read() if self.exists() else None
-        if existing is not None and existing.isEmpty():
-            existing = None
         keyed = written(dedupe_documents(self.prepare(docs)), "batch")
-        fresh = insert_if_absent(keyed, existing)
+        if self.filters:
+            fresh = keyed.join(self.present(keyed), "doc_key", "left_anti") if self.exists() else keyed
+        else:
+            existing = self.read() if self.exists() else None
+            if existing is not None and existing.isEmpty():
+                existing = None
+            fresh = insert_if_absent(keyed, existing)
         return embed_missing(fresh, self.embed, embed_input(F.col("meta.title"), F.col("content")))
 
     def write_documents(self, docs: DataFrame) -> None:
-        """Insert documents not present yet (duplicates skipped), embedded."""
-        self.new_documents(docs).write.mode("append").parquet(self.path)
+        """Insert documents not present yet (duplicates skipped), embedded.
+
+        A bucketed store writes its filters first: rows whose filter is missing would be
+        inserted again, filters whose rows are missing only cost reading."""
+        fresh = self.new_documents(docs)
+        if self.filters:
+            fresh = written(fresh, "fresh")
+            self.filters.add(fresh)
+            (fresh.withColumn("bucket", bucket_of(F.col("doc_key"), self.filters.buckets)).hint("rebalance", "bucket")
+             .write.mode("append").partitionBy("bucket").parquet(self.path))
+        else:
+            fresh.write.mode("append").parquet(self.path)
+
+    def present(self, docs: DataFrame) -> DataFrame:
+        """J5 on a bucketed store: keys of ``docs`` that are stored, read from buckets that may hold them only."""
+        return stored_keys(self._open(), self.filters.maybe(docs))
 
     def embedding_count(self) -> int:
         """A4."""

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veriscope.constants import KEEP_FIELDS
 from veriscope.functions.text import authors_string, uninvert_abstract
 from veriscope.operators.filters import drop_missing_abstract
 from veriscope.schemas import RAW_WORK, WORK
+from veriscope.sources.manifest import BatchTable
+from veriscope.sources.scan import written
 
 
 def read_works_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -26,6 +30,64 @@ def read_works_pages(spark: SparkSession, path: str, multiline: bool = True) ->
             .json(path))
 
 
+CORRUPT = "_corrupt"
+
+
+def _checked(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """RAW_WORK rows of every page with the text that did not parse and the file's name."""
+    schema = T.StructType([*RAW_WORK.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", "*.json")
+            .option("recursiveFileLookup", "true").json(path)
+            .select("*", F.col("_metadata.file_name").alias("file_name")))
+
+
+def read_checked_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """S1 with ``file_name``: works of the pages that parse; what does not is in ``rejected_pages``."""
+    return _checked(spark, path, multiline).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """(file_name, n_bad, n_chars): files with pages (``multiline``) or lines that do not parse, and their size.
+
+    A page that is cut off is rejected as a whole and listed once; other files beside
+    the pages (a cursor file) are neither read nor listed."""
+    bad = _checked(spark, path, multiline).where(F.col(CORRUPT).isNotNull() & F.col("id").isNull())
+    return bad.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_bad"), F.sum(F.length(CORRUPT)).alias("n_chars"))
+
+
+def land_pages(works: DataFrame, path: str, page: Column, damaged: Column | None = None) -> DataFrame:
+    """Write one JSON array file ``results_<page>.json`` for each value of ``page`` (bounded by the page size),
+    and where ``damaged`` holds, a cut-off copy ``results_<page>_cut.json``; returns (file_name, n_works).
+
+    Files are written by tasks; a repeated attempt writes the same file again."""
+    root = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    rows = works.select(page.alias("page"), (damaged if damaged is not None else F.lit(False)).alias("cut"),
+                        F.to_json(F.struct(*works.columns), {"ignoreNullFields": "false"}).alias("work"))
+
+    def land(group: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+        folder, at = fs.FileSystem.from_uri(root)
+        folder.create_dir(at, recursive=True)
+        text = "[" + ",\n".join(sorted(group["work"])) + "]"
+        name = f"results_{group['page'].iloc[0]}"
+        files = [(f"{name}.json", text, len(group))]
+        if group["cut"].any():
+            files.append((f"{name}_cut.json", text[:len(text) // 2], 0))
+        for file, body, _ in files:
+            with folder.open_output_stream(f"{at}/{file}") as f:
+                f.write(body.encode())
+        return pd.DataFrame({"file_name": [f[0] for f in files], "n_works": [f[2] for f in files]})
+
+    return written(rows.groupBy("page").applyInPandas(land, "file_name string, n_works long"), "landed")
+
+
+def land_works_csv(csv: DataFrame, table: BatchTable, parts: int, name: str = "works", key: str = "id") -> DataFrame:
+    """S3 landed once: rows of a CSV (read in one task a file) as Parquet, clustered by ``part`` of their key."""
+    table.append(name, lambda: csv.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).repartition(parts, "part"))
+    return table.read()
+
+
 def flatten_works(raw: DataFrame, keep: list[str] = KEEP_FIELDS) -> DataFrame:
     """P4 + P5 + F1 + F2: works with an abstract, flat columns in WORK order."""
     kept = drop_missing_abstract(raw)
