@@ -1,6 +1,7 @@
 """Bucketed keys, batch tables, checked pages: repeated and killed runs, full filters, damaged files."""
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,9 +47,8 @@ def test_only_buckets_that_may_hold_a_key_are_read(spark):
     maybe = store.filters.maybe(one)
     assert maybe.count() == 1
     plan = keys.stored_keys(store._open(), maybe)._jdf.queryExecution().executedPlan().toString()
-    scans = [x for x in plan.splitlines() if "FileScan" in x and store.path.rsplit("/", 1)[1] in x]
-    assert scans and all("PartitionFilters: [" in x and "bucket#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
-    assert all("embedding" not in x.split("ReadSchema")[1] for x in scans)
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and re.search(r"PartitionFilters: \[[^\]]*bucket#", x))
+    assert "struct<doc_key:string>" in scan
     assert store.present(one).count() == 1
     fresh = store.filters.maybe(store.prepare(docs(spark, [(i, f"other {i}") for i in range(500)])))
     assert fresh.count() < 25                                                  # false positives of filters with room
