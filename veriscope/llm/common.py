@@ -35,6 +35,11 @@ def digest(*cols: Column) -> tuple[Column, Column]:
     return F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(1), *reversed(cols)).alias("k2")
 
 
+def row_key(docs: DataFrame) -> tuple[Column, Column]:
+    """The digest of a document's (doc_id, text), as the operators return it."""
+    return digest(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text): null texts become empty."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -41,7 +41,7 @@ def winnowed(rows: DataFrame, ws: str, gram: int, window: int) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text",
                   span: int = 10, gram: int = 5) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans): one row per input row.
+    """(doc_id, k1, k2, n_words, n_hit, items, spans): one row per input row; k1, k2 are the digest of (doc_id, text).
 
     ``items`` are the sorted item_ids (as strings) that have a window of ``span`` words
     in the document; ``spans`` the sorted starts of such windows with their lengths.
@@ -105,6 +105,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     n_words = F.regexp_count(F.col("text"), F.lit(WORD.replace(r"\x60", r"\x40\x5B-\x60")))   # A-Z belong to words here
     rows = base.select("doc_id", *key, n_words.cast("long").alias("n_words"))
     return rows.join(result, ["k1", "k2"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "k1", "k2", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,len:int>>")).alias("spans"))

@@ -46,14 +46,16 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     counts and local roots, never pairs, so a group of near copies adds no pair rows.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and
-    vectors without a group, link with nothing.  Repeated rows count as vectors.
+    vectors without a group, link with nothing.  Repeated rows count as vectors.  Rows
+    with a null id link like others but name no component: one of null ids alone has
+    the name null, and its rows are kept.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"),
                           F.col(group_col).alias("g"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fit = rows.where(F.col("g").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
     keyed = fit.select("id", "g", "v", F.xxhash64("g", "v").alias("k1"), F.xxhash64(F.lit(1), "v", "g").alias("k2"))
-    reps = keyed.where("id is not null").groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    reps = keyed.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
     # A class goes by a number of its own: an id repeated with different vectors names several classes.
     reps = write_table(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
     half, least = calibrate(threshold, n_projections, width, miss)
@@ -66,7 +68,7 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             yield pd.DataFrame({"rep": b["rep"], "copies": b["copies"], "part": b["part"], "v": b["v"],
                                 "strip": np.floor(np.array(x0) / strip_width).astype("i8")})
 
-    first = (keyed.join(reps, ["k1", "k2"]).where("id = least").dropDuplicates(["rep"])
+    first = (keyed.join(reps, ["k1", "k2"]).where("id <=> least").dropDuplicates(["rep"])
              .select("rep", "copies", F.concat_ws("|", F.col("g").cast("string"), F.size("v").cast("string")).alias("part"), "v"))
     placed = write_table(first.mapInPandas(project, "rep long, copies long, part string, v array<double>, strip long"),
                          "strips")
@@ -122,7 +124,7 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                        | ~F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))).select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select("id", "n_links", "component_id",
-                                            (F.col("id") == F.col("component_id")).alias("kept"))
+                                            F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _norm(x: np.ndarray) -> float:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriscope.llm.common import documents, write_table
+from veriscope.llm.common import digest, documents, write_table
 from veriscope.llm.components import components, least_names, local_roots
 from veriscope.llm.shingles import mix, shingle_sets
 
@@ -44,7 +44,8 @@ def found_share(similarity: float | np.ndarray, depth: int):
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
-                   words: int = 5, recall: float = 0.9999, block_rows: int = 2048, block_shingles: int = 1 << 21, seed: int = 5) -> DataFrame:
+                   words: int = 5, recall: float = 0.9999, block_rows: int = 2048, block_shingles: int = 1 << 21, seed: int = 5,
+                   numbered: bool = False) -> DataFrame:
     """(doc_id, class_id, copy_id, n_shingles, n_links): one row per input row.
 
     Documents whose sets of word shingles have a Jaccard similarity of ``threshold``
@@ -63,7 +64,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Nodes of any size are handled, by more blocks.
 
     A null or empty text, or one without words, links with nothing.  Repeated rows
-    count as copies; null doc_ids take part but name no class.
+    count as copies; null doc_ids take part but name no class (a class of null ids
+    alone has the name null).  ``numbered`` adds ``class_no``, one number for each
+    class whatever its ids (null: links with nothing), and the digest ``k1``, ``k2`` of
+    (doc_id, text), by which rows can be told apart where ids repeat or are missing.
     """
     spark = docs.sparkSession
     rows = documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -90,21 +94,26 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig"))
         .withColumn("rep", F.monotonically_increasing_id()), "classes")
     # A class goes by a number of its own: a doc_id repeated with different texts names several classes.
-    named = classes.where("least is not null").select("rep", "copies", "sig", *key, "least")
+    named = classes.select("rep", "copies", "sig", *key, "least")
     # The worst pair decides, whatever the other pairs of the table are; at depth 0 all classes meet.
     depth = next(d for d in range(DEPTH, -1, -1) if found_share(threshold, d) >= recall)
     members, nodes = _nodes(named, depth)
     links = _verified(signed, members, nodes, named, depth, threshold, words, (block_rows, block_shingles))
 
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = least_names(components(links, "rep", "root"), classes.select("rep", "least"))
+    linked = components(links, "rep", "root")
+    joined = least_names(linked, classes.select("rep", "least"))
+    extra, marks = [], []
+    if numbered:
+        joined = joined.join(linked.select(F.col("id").alias("rep"), F.col("component").alias("class_no")), "rep")
+        extra, marks = [F.coalesce("class_no", "rep").alias("class_no")], ["class_no", "k1", "k2"]
     result = write_table(classes.join(counted, "rep", "left").join(joined, "rep", "left").select(
-        *key, "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        *key, "least", *extra, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "least").alias("class_id")), "joined")
-    out = signed.select("doc_id", *key).join(result, key, "left")
+    out = signed.select("doc_id", *key, *(digest("doc_id", "text") if numbered else ())).join(result, key, "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                       F.coalesce("least", "doc_id").alias("copy_id"), F.col("n").alias("n_shingles"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), *marks)
 
 
 def _nodes(named: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -138,11 +147,13 @@ def _dealt(members: DataFrame, nodes: DataFrame, block: tuple[int, int]) -> Data
 def _verified(signed, members, nodes, named, depth, threshold, words, block) -> DataFrame:
     """(rep, links, root): exact links of the pairs that share a node, counted in the tasks where they meet."""
     dealt = write_table(_dealt(members, nodes, block), "dealt")
-    wanted = named.withColumnRenamed("least", "doc_id").join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
-    # All texts are shuffled once, by document and digest; those wanted once more, by class.
-    key = ["doc_id", "m1", "m2", "n"]
-    texts = signed.select(*key, "text").join(wanted.select(*key).hint("merge"), key, "left_semi")
-    texts = texts.dropDuplicates(key).join(wanted.hint("merge"), key).select("rep", "text", "copies", "sig")
+    wanted = named.join(dealt.select("rep").distinct().hint("merge"), "rep", "left_semi")
+    # All texts are shuffled once, by digest, those of a class's least id (null where it has none) only;
+    # those wanted once more, by class.
+    key = ["m1", "m2", "n"]
+    named = wanted.select(*key, "least").hint("merge")
+    texts = signed.select("doc_id", *key, "text").join(named, key).where(F.col("doc_id").eqNullSafe(F.col("least")))
+    texts = texts.select(*key, "text").dropDuplicates(key).join(wanted.hint("merge"), key).select("rep", "text", "copies", "sig")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, grams = None, None

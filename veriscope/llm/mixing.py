@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veriscope.llm.common import write_table
+from veriscope.llm.common import digest, row_key, write_table
 
 #: A word of a size: a run of anything but ASCII white space (fixed value).
 SIZE_WORD = r"[^\x20\x09-\x0D]+"
@@ -38,12 +38,13 @@ def fill_targets(sources: DataFrame, max_epochs: float = 3.0) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: float = 3.0, seed: int = 7,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, repeats): one row per input row.
+    """(doc_id, source, k1, k2, size, source_size, target, repeats): one row per input row; k1, k2 are the
+    digest of (doc_id, text).
 
     Sources ordered by code point (null last) get ``weights`` in turn.  Each document
     is repeated as often as its source's target holds the whole source, and once more
     if it lies in the fraction that is left: documents stand in a seeded random order
-    (by MD5 of seed and doc_id), and one is taken again if the middle of its words
+    (by MD5 of seed and doc_id, or of the text where that is null), and one is taken again if the middle of its words
     lies within the fraction.  So a source's words are off by half a document at
     most, no document exceeds ``max_epochs`` repetitions, and a rerun takes the same.
 
@@ -52,9 +53,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: flo
     text has size 0; a null source is a source; repeated rows are mixed one by one.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(SIZE_WORD)), F.lit(0)).cast("long")
-    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))),
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"),
+                                                                                   F.md5(F.coalesce(F.col(text_col), F.lit("")))))),
                                1, PLACE_BITS // 4), 16, 10).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
+    key = digest(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), *key, size.alias("size"),
                        place.alias("place"))
     rows = write_table(rows.withColumn("cell", F.shiftright("place", PLACE_BITS - CELL_BITS)), "sizes")
     cells = write_table(rows.groupBy("source", "cell").agg(F.sum("size").alias("n")), "cells")
@@ -76,12 +79,25 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: flo
     ranked = rows.withColumn("upto", F.sum("size").over(inside))
     joined = ranked.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell")))
     again = (F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("extra")) & (F.col("extra") > 0)
-    return joined.select("doc_id", "source", "size", "source_size", "target",
+    return joined.select("doc_id", "source", "k1", "k2", "size", "source_size", "target",
                          (F.col("whole") + again.cast("long")).alias("repeats"))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` as often as ``mixed`` repeats their id (unique in both)."""
-    times = mixed.where(F.col("repeats") > 0).select(F.col("doc_id").alias("__id"), F.col("repeats").alias("__times"))
-    return (docs.join(times, F.col(id_col).eqNullSafe(F.col("__id")))
-            .withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns))
+def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as ``mixed`` repeats them.
+
+    Rows meet by the digest of (doc_id, text) and the source.  Rows that are equal in
+    all of that are one row here, taken as often as all of them together."""
+    key = ["k1", "k2", "source"]
+    times = mixed.where(F.col("repeats") > 0).groupBy(*key).agg(F.sum("repeats").alias("times"))
+    twice = write_table(mixed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "twice")
+    k1, k2 = row_key(docs)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), k1, k2, "source")
+    same = (F.col("k1") == F.col("t1")) & (F.col("k2") == F.col("t2")) & F.col("source").eqNullSafe(F.col("t3"))
+    t = twice.select(F.col("k1").alias("t1"), F.col("k2").alias("t2"), F.col("source").alias("t3"))
+    once = rows.join(t, same, "left_anti")
+    repeats = rows.join(t, same, "left_semi").groupBy(*key).agg(F.first("row").alias("row")).select("row", *key)
+    each = once.unionByName(repeats)
+    p = times.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("source").alias("p3"), "times")
+    found = each.join(p, (F.col("k1") == F.col("p1")) & (F.col("k2") == F.col("p2")) & F.col("source").eqNullSafe(F.col("p3")))
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")

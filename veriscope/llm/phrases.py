@@ -34,8 +34,8 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 MAP = bytes(10 if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Odd bases of the two polynomials, modulo 2^64 (any odd values do).
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-#: Bytes of text hashed at a time, and n-grams a task sums before it hands them on.
-CHUNK, HELD = 1 << 19, 1 << 21
+#: Bytes of text hashed at a time, and n-grams and phrases a task holds before it sums them and hands them on.
+CHUNK, HELD, TEXTS = 1 << 19, 1 << 20, 3 << 17
 PROBES = 4
 SEGMENTS = 64
 U64 = np.uint64
@@ -254,7 +254,8 @@ def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) ->
         if size:
             yield from flush()
 
-    return docs.mapInArrow(count, "fp long, f long").groupBy("fp").agg(F.sum("f").alias("f"))
+    # Tasks have summed their own rows: dealt out first, so that no second sum is held on the map side.
+    return docs.mapInArrow(count, "fp long, f long").repartition("fp").groupBy("fp").agg(F.sum("f").alias("f"))
 
 
 def count_texts(docs: DataFrame, longest: int, bits: int, known) -> DataFrame:
@@ -290,12 +291,12 @@ def count_texts(docs: DataFrame, longest: int, bits: int, known) -> DataFrame:
                         found = held.setdefault((lang, n), {})
                         for text, k in zip(words.texts(at[first], n), f.tolist()):
                             found[text] = found.get(text, 0) + k
-                    if sum(map(len, held.values())) >= HELD // 4:
+                    if sum(map(len, held.values())) >= TEXTS:
                         yield from flush()
                         held = {}
         yield from flush()
 
-    return (docs.mapInArrow(count, "lang string, n int, phrase string, f long")
+    return (docs.mapInArrow(count, "lang string, n int, phrase string, f long").repartition("lang", "n", "phrase")
             .groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")))
 
 
