@@ -11,17 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriscope.llm import catalog, decontam, jaccard, mixing, quality, tokens
-from veriscope.llm.common import write_table
+from veriscope.llm.common import row_key, write_table
 from veriscope.session import ship_package
 
 
+#: The digest of (doc_id, text): ids may be missing or repeated.
+KEY = ["k1", "k2"]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not listed; rows without a doc_id stay."""
-    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns(dict(zip(KEY, row_key(docs))))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text) is not among the listed digests."""
+    return _keyed(docs).join(keys, KEY, "left_anti").select(*docs.columns)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,21 +39,29 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of linked documents."""
+    """The document with the least doc_id of each group of linked documents, a null doc_id last, and one
+    row of it where rows repeat.  Documents without words stay."""
     ship_package(spark)
-    joined = jaccard.join_documents(docs)
-    return _without(docs, write_table(joined.where("doc_id <> class_id").select(F.col("doc_id").alias("gone")), "gone"))
+    found = write_table(jaccard.join_documents(docs, numbered=True).where("class_no is not null")
+                        .groupBy("class_no", *KEY).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")), "found")
+    best = found.groupBy("class_no").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEY)).alias("b"),
+                                         F.count(F.lit(1)).alias("members")).where("members > 1")
+    gone = write_table(found.join(best, "class_no").where((F.col("k1") != F.col("b.k1")) | (F.col("k2") != F.col("b.k2")))
+                       .select(*KEY), "gone")
+    twice = write_table(found.where("n > 1").select(*KEY).join(gone, KEY, "left_anti"), "twice")
+    rest = _without(docs, gone.unionByName(twice))
+    return rest.unionByName(_keyed(docs).join(twice, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontam.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return _without(docs, write_table(found.where("n_hit > 0").select(F.col("doc_id").alias("gone")).distinct(), "gone"))
+    return _without(docs, write_table(found.where("n_hit > 0").select(*KEY).distinct(), "gone"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as their source's target asks; those taken no times go."""
-    return mixing.repeated(docs, write_table(mixing.mix(docs).select("doc_id", "repeats"), "mixed"))
+    return mixing.repeated(docs, write_table(mixing.mix(docs).select(*KEY, "source", "repeats"), "mixed"))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
