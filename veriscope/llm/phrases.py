@@ -4,15 +4,16 @@ Tasks cut texts into words with numpy and hash every n-gram by prefix polynomial
 into words, words into n-grams), so no n-gram is a string at first.
 
 1. Lengths 1 and 2: each task sums its fingerprints, the shuffle sums them over tasks,
-   and those that reach the count form the frequent set.
+   and those that reach the count form the frequent set.  With each fingerprint go a
+   pointer (the least 16-bit mark of a piece that holds it) and a check, 32 bits of a
+   second polynomial: a fingerprint with two different checks has collided.
 2. Each further length: only n-grams whose two (n-1)-grams may be frequent are hashed and summed.
-3. Each task cuts the text of what may be frequent out at the first occurrence's place
-   (its pointer), after comparing the words of all occurrences as text; the shuffle sums
-   by the text itself.  Different phrases of one fingerprint are told apart there, so
-   counts are exact whatever collides.
+3. A phrase's text is cut out of the pieces that its pointer names, so each frequent
+   phrase is materialised about once.  Collided fingerprints are cut out wherever they
+   stand and counted anew by their texts, so their phrases are told apart.
 
-Tasks know the frequent set as a Bloom filter of a fixed size (``filter_bits``).  A full
-filter lets more rows into the shuffles; it never changes a result.
+Tasks know these sets as Bloom filters of a fixed size (``filter_bits``).  A full filter
+lets more rows into the shuffles; it never changes a result.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 MAP = bytes(10 if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Odd bases of the two polynomials, modulo 2^64 (any odd values do).
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+BYTE_CHECK, WORD_CHECK = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 #: Bytes of text hashed at a time, and n-grams and phrases a task holds before it sums them and hands them on.
 CHUNK, HELD, TEXTS = 1 << 19, 1 << 20, 3 << 17
 PROBES = 4
@@ -90,6 +92,9 @@ class Words:
         sums, down = _sums(data.astype(U64) + U64(1), BYTE_BASE)
         self.hash = _mix((sums[self.end] - sums[self.start]) * down[self.start])
         self.sums, self.down = _sums(self.hash, WORD_BASE)
+        sums, down = _sums(data.astype(U64) + U64(1), BYTE_CHECK)
+        self.other = _mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self.checks, self.up = _sums(self.other, WORD_CHECK)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -104,6 +109,19 @@ class Words:
         out = _mix((self.sums[at + n] - self.sums[at]) * self.down[at] + U64(self.salt + n))
         return out & U64((1 << self.bits) - 1) if self.bits < 64 else out
 
+    def check(self, n: int, at: np.ndarray) -> np.ndarray:
+        """32 bits of a second polynomial of the n-grams at these words."""
+        return (_mix((self.checks[at + n] - self.checks[at]) * self.up[at]) >> U64(32)).astype(np.uint32).view(np.int32)
+
+    def marks(self) -> np.ndarray:
+        """16 bits of the whole piece that each word stands in: a piece is never cut, so every pass finds the same."""
+        if not len(self):
+            return np.empty(0, np.int32)
+        first = np.flatnonzero(np.concatenate([[True], self.piece[1:] != self.piece[:-1]]))
+        last = np.append(first[1:], len(self))
+        mark = _mix((self.sums[last] - self.sums[first]) * self.down[first]) & U64(0xFFFF)
+        return np.repeat(mark.astype(np.int32), last - first)
+
     def numbers(self) -> np.ndarray:
         """A number for each different word; equal hashes are compared as text, byte by byte."""
         _, rep, number = np.unique(self.hash, return_index=True, return_inverse=True)
@@ -223,22 +241,32 @@ def build_filter(frequent: DataFrame, bits: int) -> Bloom:
 
 
 def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) -> DataFrame:
-    """(fp, f) of all n-grams of these lengths; with ``known`` (a broadcast filter), of those whose two
+    """(fp, f, at, low, high) of all n-grams of these lengths; with ``known`` (a broadcast filter), of those whose two
     shorter n-grams may be frequent.  A fingerprint holds language and length too."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            fp, f = np.unique(np.concatenate(held), return_counts=True)
+            fp, at, check = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(fp)
+            fp, at, check = fp[order], at[order], check[order]
+            first = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
+            f = np.diff(np.append(first, len(fp)))
+            fp, at = fp[first], np.minimum.reduceat(at, first)
+            low, high = np.minimum.reduceat(check, first), np.maximum.reduceat(check, first)
+            two = np.flatnonzero(low != high)                   # a collision: a second row with the other check
+            fp, f, at, check = (np.concatenate(x) for x in ((fp, fp[two]), (f, 0 * f[two]), (at, at[two]), (low, high[two])))
             for lo in range(0, len(fp), 1 << 16):
-                yield pa.RecordBatch.from_pydict({"fp": pa.array(fp[lo:lo + (1 << 16)].view(np.int64)),
-                                                  "f": pa.array(f[lo:lo + (1 << 16)].astype(np.int64))})
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_pydict({"fp": pa.array(fp[part].view(np.int64)), "f": pa.array(f[part].astype(np.int64)),
+                                                  "at": pa.array(at[part]), "c": pa.array(check[part])})
 
         for b in batches:
             for lang, texts in _by_lang(b):
                 for blob, starts in chunks(texts):
                     words = Words(blob, starts, lang, bits)
+                    marks = words.marks()
                     for n in lengths:
                         at = words.places(n)
                         if known is not None:
@@ -246,8 +274,9 @@ def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) ->
                             fits = np.zeros(len(words) + 1, bool)
                             fits[every[known.value.holds(words.prints(n - 1, every))]] = True
                             at = at[fits[at] & fits[at + 1]]
-                        held.append(words.prints(n, at))
-                        size += len(at)
+                        if len(at):
+                            held.append((words.prints(n, at), marks[at], words.check(n, at)))
+                            size += len(at)
                     if size >= HELD:
                         yield from flush()
                         held, size = [], 0
@@ -255,49 +284,68 @@ def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) ->
             yield from flush()
 
     # Tasks have summed their own rows: dealt out first, so that no second sum is held on the map side.
-    return docs.mapInArrow(count, "fp long, f long").repartition("fp").groupBy("fp").agg(F.sum("f").alias("f"))
+    return (docs.mapInArrow(count, "fp long, f long, at int, c int").repartition("fp").groupBy("fp")
+            .agg(F.sum("f").alias("f"), F.min("at").alias("at"), F.min("c").alias("low"), F.max("c").alias("high")))
+
+
+def _pointed(fp: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What the filters hold: a fingerprint with its pointer, or with -1 where it is to be found everywhere."""
+    return _mix(fp + (at.astype(np.int64).view(U64) + U64(2)) * U64(BYTE_CHECK))
+
+
+def pointers(frequent: DataFrame) -> DataFrame:
+    """The column fp as ``_pointed`` makes it, of (fp, at, low, high)."""
+    def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = _pointed(np.asarray(b.column(0)).view(U64), np.asarray(b.column(1)))
+            yield pa.RecordBatch.from_pydict({"fp": pa.array(fp.view(np.int64))})
+    at = F.when(F.col("low") == F.col("high"), F.col("at")).otherwise(F.lit(-1))
+    return frequent.select("fp", at.alias("at")).mapInArrow(point, "fp long")
 
 
-def count_texts(docs: DataFrame, longest: int, bits: int, known) -> DataFrame:
-    """(lang, n, phrase, f): exact counts of all phrases that the filter lets through, and rows of n = 0 with
-    each language's number of words."""
+def cut_texts(docs: DataFrame, longest: int, bits: int, known) -> DataFrame:
+    """(lang, n, phrase, fp, c, seen): phrases where the filter of pointers lets them through, with the occurrences
+    that it let through, and rows of n = 0 with each language's number of words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], dict[bytes, int]] = {}
+        held: dict[tuple[str, int], dict[tuple[bytes, int, int], int]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, n), found in held.items():
                 keys, counts = list(found), list(found.values())
                 for lo in range(0, len(keys), 1 << 15):
-                    part = keys[lo:lo + (1 << 15)]
+                    part, prints, checks = zip(*keys[lo:lo + (1 << 15)])
                     yield pa.RecordBatch.from_pydict({
                         "lang": pa.repeat(pa.scalar(lang, pa.string()), len(part)), "n": pa.repeat(pa.scalar(n, pa.int32()), len(part)),
-                        "phrase": pa.array(part, pa.binary()).cast(pa.string()), "f": pa.array(counts[lo:lo + (1 << 15)], pa.int64())})
+                        "phrase": pa.array(part, pa.binary()).cast(pa.string()), "fp": pa.array(np.array(prints, U64).view(np.int64)),
+                        "c": pa.array(checks, pa.int32()), "seen": pa.array(counts[lo:lo + (1 << 15)], pa.int64())})
 
         for b in batches:
             for lang, texts in _by_lang(b):
                 for blob, starts in chunks(texts):
                     words = Words(blob, starts, lang, bits)
-                    total = held.setdefault((lang, 0), {b"": 0})
-                    total[b""] += len(words)
-                    number = words.numbers()
+                    total = held.setdefault((lang, 0), {(b"", 0, 0): 0})
+                    total[b"", 0, 0] += len(words)
+                    number, marks = words.numbers(), words.marks()
+                    everywhere = np.full(len(words), -1, np.int32)
                     base, code = int(number.max(initial=0)) + 1, number    # code: equal exactly where the n words are equal
                     for n in range(1, longest + 1):
                         if n > 1:
                             _, code = np.unique(code[:max(0, len(words) - n + 1)], return_inverse=True)
                             code = code * base + number[n - 1:]
                         at = words.places(n)
-                        at = at[known.value.holds(words.prints(n, at))]
+                        fp = words.prints(n, at)
+                        at = at[known.value.holds(_pointed(fp, marks[at])) | known.value.holds(_pointed(fp, everywhere[at]))]
                         _, first, f = np.unique(code[at], return_index=True, return_counts=True)
-                        found = held.setdefault((lang, n), {})
-                        for text, k in zip(words.texts(at[first], n), f.tolist()):
-                            found[text] = found.get(text, 0) + k
+                        found, at = held.setdefault((lang, n), {}), at[first]
+                        for key, k in zip(zip(words.texts(at, n), words.prints(n, at).tolist(), words.check(n, at).tolist()), f.tolist()):
+                            found[key] = found.get(key, 0) + k
                     if sum(map(len, held.values())) >= TEXTS:
                         yield from flush()
                         held = {}
         yield from flush()
 
-    return (docs.mapInArrow(count, "lang string, n int, phrase string, f long").repartition("lang", "n", "phrase")
-            .groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")))
+    return (docs.mapInArrow(count, "lang string, n int, phrase string, fp long, c int, seen long")
+            .groupBy("lang", "n", "phrase", "fp", "c").agg(F.sum("seen").alias("seen")))
 
 
 def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, lang_col: str = "lang", text_col: str = "text",
@@ -313,9 +361,20 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, lang_col:
     for n in range(2, max(2, longest) + 1):
         counts = count_prints(read, [1, 2] if n == 2 else [n], print_bits, known)
         levels.append(write_table(counts.where(F.col("f") >= least), "prints"))
-        known = spark.sparkContext.broadcast(build_filter(functools.reduce(DataFrame.unionByName, levels), filter_bits))
-    counts = write_table(count_texts(read, longest, print_bits, known).where((F.col("f") >= least) | (F.col("n") == 0)), "phrases")
-    return counts.where("n > 0"), counts.where("n = 0").select("lang", F.col("f").alias("n"))
+        frequent = functools.reduce(DataFrame.unionByName, levels)
+        if n < longest:
+            known = spark.sparkContext.broadcast(build_filter(frequent, filter_bits))
+    # Lengths are counted apart, but a fingerprint that two of them share has collided as well.
+    merged = write_table(frequent.groupBy("fp").agg(F.sum("f").alias("sum"), F.min("at").alias("at"), F.min("low").alias("low"),
+                                                    F.max("high").alias("high")), "merged")
+    known = spark.sparkContext.broadcast(build_filter(pointers(merged), filter_bits))
+    texts = write_table(cut_texts(read, longest, print_bits, known), "texts")
+    one = F.col("low") == F.col("high")
+    counts = (texts.where("n > 0").join(merged.withColumnRenamed("fp", "of"), F.col("fp") == F.col("of"))
+              .where(~one | (F.col("c") == F.col("low")))
+              .select("lang", "n", "phrase", F.when(one, F.col("sum")).otherwise(F.col("seen")).alias("f"))
+              .where(F.col("f") >= least))
+    return write_table(counts, "phrases"), texts.where("n = 0").select("lang", F.col("seen").alias("n"))
 
 
 def collocations(phrases: DataFrame, longest: int = 3, least: int = 10, covered: int = 50) -> DataFrame:
