@@ -243,3 +243,13 @@ def test_packing_query_whole_table(spark):
     for r in rows:
         ids = want[r.doc_id]
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())
+
+
+def test_counts_over_a_row_are_several_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([("en", "a b c " * 700)], "lang string, text string")
+    read, _ = phrases.count_phrases(docs)
+    assert {r["phrase"]: r["f"] for r in read.collect()}["a b c"] == 700
+    big = spark.createDataFrame([("en", "x y. " * 70_000)], "lang string, text string")
+    read, totals = phrases.count_phrases(big)
+    assert {r["phrase"]: r["f"] for r in read.collect()} == {"x": 70_000, "y": 70_000, "x y": 70_000}
+    assert totals.collect()[0]["n"] == 140_000

@@ -18,6 +18,7 @@ lets more rows into the shuffles; it never changes a result.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import operator
 import zlib
@@ -37,7 +38,9 @@ MAP = bytes(10 if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 els
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 BYTE_CHECK, WORD_CHECK = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 #: Bytes of text hashed at a time, and n-grams and phrases a task holds before it sums them and hands them on.
-CHUNK, HELD, TEXTS = 1 << 19, 1 << 20, 3 << 17
+CHUNK, HELD, TEXTS = 1 << 18, 1 << 20, 1 << 17
+#: A row of the shuffle counts up to this.
+MOST = 0xFFFF
 PROBES = 4
 SEGMENTS = 64
 U64 = np.uint64
@@ -177,11 +180,13 @@ def chunks(texts: pa.StringArray | pa.LargeStringArray, size: int = CHUNK) -> It
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
-    """(language, its texts) of a batch of (lang, text)."""
-    codes = batch.column(0).dictionary_encode()
-    number = np.asarray(codes.indices)
-    for k, lang in enumerate(codes.dictionary.to_pylist()):
-        yield lang, batch.column(1).take(pa.array(np.flatnonzero(number == k)))
+    """(language, some texts of it) of a batch of (lang, text), 1,024 rows at a time."""
+    for lo in range(0, batch.num_rows, 1024):
+        part = batch.slice(lo, 1024)
+        codes = part.column(0).dictionary_encode()
+        number = np.asarray(codes.indices)
+        for k, lang in enumerate(codes.dictionary.to_pylist()):
+            yield lang, part.column(1).take(pa.array(np.flatnonzero(number == k)))
 
 
 class Bloom:
@@ -257,10 +262,14 @@ def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) ->
             low, high = np.minimum.reduceat(check, first), np.maximum.reduceat(check, first)
             two = np.flatnonzero(low != high)                   # a collision: a second row with the other check
             fp, f, at, check = (np.concatenate(x) for x in ((fp, fp[two]), (f, 0 * f[two]), (at, at[two]), (low, high[two])))
-            for lo in range(0, len(fp), 1 << 16):
+            some = np.maximum(1, -(-f // MOST))                 # counts over 16 bits are several rows
+            which = np.repeat(np.arange(len(fp)), some)
+            turn = np.arange(len(which)) - np.repeat(np.cumsum(some) - some, some)
+            f = np.minimum(f[which] - turn * MOST, MOST)
+            packed = check[which].astype(np.int64) << 32 | at[which].astype(np.int64) << 16 | f
+            for lo in range(0, len(which), 1 << 16):
                 part = slice(lo, lo + (1 << 16))
-                yield pa.RecordBatch.from_pydict({"fp": pa.array(fp[part].view(np.int64)), "f": pa.array(f[part].astype(np.int64)),
-                                                  "at": pa.array(at[part]), "c": pa.array(check[part])})
+                yield pa.RecordBatch.from_pydict({"fp": pa.array(fp[which[part]].view(np.int64)), "m": pa.array(packed[part])})
 
         for b in batches:
             for lang, texts in _by_lang(b):
@@ -284,8 +293,10 @@ def count_prints(docs: DataFrame, lengths: list[int], bits: int, known=None) ->
             yield from flush()
 
     # Tasks have summed their own rows: dealt out first, so that no second sum is held on the map side.
-    return (docs.mapInArrow(count, "fp long, f long, at int, c int").repartition("fp").groupBy("fp")
-            .agg(F.sum("f").alias("f"), F.min("at").alias("at"), F.min("c").alias("low"), F.max("c").alias("high")))
+    # A row is two numbers: the fingerprint, and check, pointer and count side by side.
+    f, at, c = F.col("m").bitwiseAND(MOST), F.shiftright("m", 16).bitwiseAND(0xFFFF).cast("int"), F.shiftright("m", 32).cast("int")
+    return (docs.mapInArrow(count, "fp long, m long").repartition("fp").groupBy("fp")
+            .agg(F.sum(f).alias("f"), F.min(at).alias("at"), F.min(c).alias("low"), F.max(c).alias("high")))
 
 
 def _pointed(fp: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -357,11 +368,30 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, lang_col:
         raise ValueError("filter_bits must be a power of two, 512 or more")
     spark = docs.sparkSession
     read = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    levels, known = [], None
+    with smaller_batches(spark):
+        return _count_phrases(read, longest, least, filter_bits, print_bits)
+
+
+@contextlib.contextmanager
+def smaller_batches(spark, rows: int = 2000) -> Iterator[None]:
+    """Fewer rows go to the Python workers at a time while the tables of this operator are written."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _count_phrases(read: DataFrame, longest: int, least: int, filter_bits: int, print_bits: int) -> tuple[DataFrame, DataFrame]:
+    spark, levels, known = read.sparkSession, [], None
     for n in range(2, max(2, longest) + 1):
         counts = count_prints(read, [1, 2] if n == 2 else [n], print_bits, known)
         levels.append(write_table(counts.where(F.col("f") >= least), "prints"))
         frequent = functools.reduce(DataFrame.unionByName, levels)
+        if known is not None:
+            known.unpersist()
         if n < longest:
             known = spark.sparkContext.broadcast(build_filter(frequent, filter_bits))
     # Lengths are counted apart, but a fingerprint that two of them share has collided as well.
@@ -374,6 +404,7 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, lang_col:
               .where(~one | (F.col("c") == F.col("low")))
               .select("lang", "n", "phrase", F.when(one, F.col("sum")).otherwise(F.col("seen")).alias("f"))
               .where(F.col("f") >= least))
+    known.unpersist()
     return write_table(counts, "phrases"), texts.where("n = 0").select("lang", F.col("seen").alias("n"))
 
 
