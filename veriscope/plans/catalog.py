@@ -18,10 +18,10 @@ from veriscope.constants import (
     TOPIC_LEXICON, WORK_ID_PREFIX,
 )
 from veriscope.functions.text import (
-    article_text, doc_key, embed_input, uninvert_abstract,
+    article_text, doc_key, embed_input, uninvert_abstract, words,
 )
 from veriscope.functions.vectors import hash_embedding
-from veriscope.operators import knn, tree
+from veriscope.operators import bayes, concepts, knn, tree
 from veriscope.operators.claims import (
     attach_claims, claim_documents, claims_per_doc, extract_claims, split_sentences,
 )
@@ -650,6 +650,18 @@ def q_match_report(spark, sf):
     return jobs.match_report(_benchmark_matches(spark, sf))
 
 
+_DOT_MATCHES_SQL = _matches_sql(TOP_K).replace(S.cosine("qv.v", "sv.v"), "list_dot_product(qv.v, sv.v)")
+
+
+@query("match_report_dot", f"""
+WITH {_store_cte()}, {_article_claims_sql('benchmark', ['item_id'], True)}, {_DOT_MATCHES_SQL}
+SELECT claim_id, claim, rank, rank - 1 AS evidence_no, score, printf('%.3f', score) AS similarity, doc_id,
+       content AS quote, title, doi, year FROM m""")
+def q_match_report_dot(spark, sf):
+    """C11 by inner product: similarities beyond 1,000, without thousands separators."""
+    return jobs.match_report(jobs.find_evidence(_benchmark_claims(spark, sf), embedded_store(spark, sf), TOP_K, metric="dot_product"))
+
+
 @query("find_evidence", f"""
 WITH {_store_cte()}, {_article_claims_sql('conversations', ['conv_id', 'turn'], True)}, {_matches_sql(TOP_K)}
 SELECT m.claim_id, c.conv_id, c.turn, c.pos, m.rank, m.doc_id, m.score FROM m JOIN claims c USING (claim_id)""")
@@ -707,6 +719,14 @@ def q_verify_all(spark, sf):
         "claim_id", "doc_id", "label", "prob")
 
 
+@query("verdict_report", f"""
+WITH {_store_cte()}, {_article_claims_sql('benchmark', ['item_id'], True)}, {_matches_sql(TOP_K)},
+v AS (SELECT claim_id, claim, rank - 1 AS evidence_no, title, {_VERDICT_LABEL} AS label, {_VERDICT_PROB} AS prob FROM m)
+SELECT claim_id, claim, evidence_no, title, label, printf('%.2f', prob) AS prob FROM v WHERE prob > 0.5""")
+def q_verdict_report(spark, sf):
+    return jobs.verdict_report(jobs.verify_claims(_benchmark_matches(spark, sf), print_neutral=True))
+
+
 _EXPORT_ABS = f"""
 WITH {_store_cte()}, {_article_claims_sql('benchmark', ['item_id'], False)}, {_matches_sql(TOP_K_EXPORT)},
 corpus AS (SELECT row_number() OVER (ORDER BY claim_id, rank) - 1 AS doc_id, claim_id, rank, title,
@@ -837,6 +857,52 @@ def q_partition_map(spark, sf):
                          "doc_id long, n_words long")
 
 
+@query("topic_naive_bayes", f"""
+WITH k AS (SELECT l.quality AS label, d.text FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IN (0, 1)),
+prior AS (SELECT round(ln(coalesce(sum(label), 0) + 1) * 1000000)::BIGINT
+                 - round(ln(coalesce(sum(1 - label), 0) + 1) * 1000000)::BIGINT AS prior FROM k),
+kw AS (SELECT label, unnest({S.words("coalesce(text, '')")}) AS word FROM k),
+c AS (SELECT word, sum(label) AS n1, sum(1 - label) AS n0 FROM kw GROUP BY word),
+t AS (SELECT sum(n1) AS t1, sum(n0) AS t0, count(*) AS v FROM c),
+w AS (SELECT word, round(ln((n1 + 1)::DOUBLE / (t1 + v)::DOUBLE) * 1000000)::BIGINT
+                   - round(ln((n0 + 1)::DOUBLE / (t0 + v)::DOUBLE) * 1000000)::BIGINT AS weight FROM c, t),
+dw AS (SELECT doc_id, unnest({S.words("coalesce(text, '')")}) AS word FROM documents),
+m AS (SELECT d.doc_id, (any_value(prior) + coalesce(sum(w.weight), 0))::BIGINT AS margin
+      FROM documents d CROSS JOIN prior LEFT JOIN dw USING (doc_id) LEFT JOIN w USING (word) GROUP BY d.doc_id)
+SELECT doc_id, CASE WHEN margin >= 0 THEN 'Yes' ELSE 'No' END AS topic_label,
+       round(1 / (1 + exp(-abs(margin) / 1000000)), 6) AS topic_score, margin FROM m""")
+def q_topic_naive_bayes(spark, sf):
+    docs = load(spark, sf, "documents")
+    labels = load(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return bayes.classify(docs, *bayes.train(docs.join(labels, "doc_id")))
+
+
+def _benchmark_searches(spark, sf):
+    """One search an item: two groups, the three-word phrases that start in its words' first and second half."""
+    items = load(spark, sf, "benchmark").select("item_id", words(F.coalesce("text", F.lit(""))).alias("ws")).where(F.size("ws") >= 4)
+    at = F.explode(F.sequence(F.lit(1), F.size("ws") - 2)).alias("i")
+    phrases = items.select("item_id", "ws", at).select(
+        "item_id", F.when(F.col("i") * 2 <= F.size("ws") - 1, 0).otherwise(1).alias("group_no"),
+        F.concat(F.lit('"'), F.array_join(F.slice("ws", F.col("i"), F.lit(3)), " "), F.lit('"')).alias("p"))
+    return phrases.groupBy("item_id", "group_no").agg(F.array_join(F.collect_set("p"), " OR ").alias("group_text")) \
+        .withColumnRenamed("item_id", "search_id")
+
+
+@query("concept_search_many", f"""
+WITH i AS (SELECT item_id, {S.words("coalesce(text, '')")} AS ws FROM benchmark),
+g AS (SELECT item_id, ws, unnest(range(1, len(ws) - 1)) AS k FROM i WHERE len(ws) >= 4),
+p AS (SELECT DISTINCT item_id AS search_id, CASE WHEN k * 2 <= len(ws) - 1 THEN 0 ELSE 1 END AS group_no,
+             ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2] AS phrase FROM g),
+r AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9 \t\n\r]+')) AS piece FROM documents),
+t AS (SELECT doc_id, list_filter(regexp_split_to_array(piece, '[ \t\n\r]+'), lambda x: x <> '') AS ws FROM r),
+k AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS k FROM t WHERE len(ws) >= 3),
+post AS (SELECT DISTINCT doc_id, ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2] AS phrase FROM k),
+f AS (SELECT search_id, doc_id, count(DISTINCT group_no) AS g, count(*) AS n_phrases FROM post JOIN p USING (phrase) GROUP BY 1, 2)
+SELECT search_id, doc_id, n_phrases FROM f WHERE g = 2""")
+def q_concept_search_many(spark, sf):
+    return concepts.search_many(load(spark, sf, "documents"), _benchmark_searches(spark, sf))
+
+
 @query("ml_topic")
 def q_ml_topic(spark, sf):
     docs = load(spark, sf, "documents")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veriscope.constants import (
     CLAIM_THRESHOLD_TEXT, HASH_DIM, TOP_K, TOP_K_EXPORT, VERDICT_THRESHOLD,
 )
-from veriscope.functions.vectors import format_similarity, hash_embedding
+from veriscope.functions.vectors import format_prob, format_similarity, hash_embedding
 from veriscope.operators import knn
 from veriscope.operators.claims import (
     attach_claims, claim_documents, claims_per_doc, extract_claims,
@@ -132,6 +132,12 @@ def verify_claims(matches: DataFrame, threshold: float = VERDICT_THRESHOLD,
     return verdicts(matches, "claim", "content", threshold, print_neutral, scorer)
 
 
+def verdict_report(verified: DataFrame) -> DataFrame:
+    """C8 as report lines: claim, evidence number (from 0), title, label, probability (2 decimals)."""
+    return verified.select("claim_id", "claim", (F.col("rank") - 1).alias("evidence_no"), F.col("meta.title").alias("title"), "label",
+                           format_prob(F.col("prob")).alias("prob"))
+
+
 def export_abstracts(claims: DataFrame, store: DataFrame, k: int = TOP_K_EXPORT, **kw):
     """Corpus (one record per match) and claim records for an external verifier."""
     m = find_evidence(claims, store, k, **kw).select("claim_id", "rank", F.col("meta.title").alias("title"),
