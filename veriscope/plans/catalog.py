@@ -772,6 +772,45 @@ def q_export_titles(spark, sf):
                          F.size("abstract").cast("long").alias("n_quotes"))
 
 
+_PHRASES_SQL = f"""
+WITH {_CLAIMS_CTE},
+ph AS (SELECT row_number() OVER (ORDER BY {S.WORK_ID}, cl.pos) - 1 AS doc_id, cl.sentence AS text, d.source, d.lang
+       FROM cl JOIN documents d USING (doc_id) WHERE {S.topic_yes('cl.sentence')}),
+store AS (SELECT * FROM ph QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1),
+{S.store_vectors_cte()}, {_article_claims_sql('benchmark', ['item_id'], True)}, {_matches_sql(TOP_K)},
+g AS (SELECT claim_id, coalesce(title, '') AS title, min(rank) AS first_rank,
+             string_agg(content, ' | ' ORDER BY rank) AS abstract, count(*) AS n_quotes FROM m GROUP BY 1, 2),
+corpus AS (SELECT row_number() OVER (ORDER BY claim_id, first_rank) - 1 AS doc_id, * FROM g)"""
+
+
+def _phrase_files(spark, sf) -> str:
+    """C10 end to end: phrase store -> nearest phrases by title -> corpus and claim records -> JSON lines."""
+    store = EvidenceStore(spark, scratch_path(spark, "phrases"), recreate=True)
+    corpus, claims = jobs.export_phrases(_benchmark_claims(spark, sf), works_view(spark, sf).select(*WORK_COLS), store,
+                                         CLAIM_THRESHOLD_SYNTHETIC)
+    path = scratch_path(spark, "export")
+    write_corpus_jsonl(corpus, f"{path}/corpus")
+    write_claims_jsonl(claims, f"{path}/claims")
+    return path
+
+
+@query("export_phrases", f"""{_PHRASES_SQL}
+SELECT doc_id, title, abstract, n_quotes FROM corpus""")
+def q_export_phrases(spark, sf):
+    corpus = spark.read.schema(CORPUS_RECORD).json(f"{_phrase_files(spark, sf)}/corpus")
+    return corpus.select("doc_id", "title", joined("abstract").alias("abstract"), F.size("abstract").cast("long").alias("n_quotes"))
+
+
+@query("export_phrase_claims", f"""{_PHRASES_SQL}
+SELECT c.claim_id AS id, c.claim, coalesce(array_to_string(list(corpus.doc_id ORDER BY corpus.doc_id), ','), '')
+       AS doc_ids, count(corpus.doc_id) AS n_docs
+FROM claims c LEFT JOIN corpus USING (claim_id) GROUP BY c.claim_id, c.claim""")
+def q_export_phrase_claims(spark, sf):
+    claims = spark.read.schema(CLAIM_RECORD).json(f"{_phrase_files(spark, sf)}/claims")
+    return claims.select("id", "claim", F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ",")
+                         .alias("doc_ids"), F.size("doc_ids").cast("long").alias("n_docs"))
+
+
 @query("topk_one", f"""
 WITH {_store_cte()}, qv AS (SELECT {S.dense(S.buckets("'" + TOPK_PHRASE + "'"))} AS v)
 SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id)::INTEGER AS rank, score

@@ -75,13 +75,18 @@ def index_abstracts(works: DataFrame, store: EvidenceStore, gate: bool = True,
 
 
 def index_claims(works: DataFrame, store: EvidenceStore, threshold: float, gate: bool = True,
-                 scorer=None, claim_scorer=None) -> None:
-    """Works -> claims per work (C4) -> joined back (J1) -> claim documents -> store."""
+                 scorer=None, claim_scorer=None, numbered: bool = False) -> None:
+    """Works -> claims per work (C4) -> joined back (J1) -> claim documents -> store.
+
+    ``numbered`` gives the claims dense ids in (work, position) order, instead of a
+    64-bit hash of their text; a repeated claim keeps its least number."""
     claims = claims_per_doc(extract_claims(works, "abstract", ["id"], threshold, claim_scorer), "id")
-    docs = claim_documents(attach_claims(works, claims, "id")).select("content", "meta")
+    docs = claim_documents(attach_claims(works, claims, "id"))
     if gate:
         docs = topic_gate(docs, "content", scorer).drop("topic")
-    store.write_documents(docs)
+    if numbered:
+        docs = dense_index(docs.withColumn("work", F.col("meta.open_alex_id")), ["work", "claim_pos"], "doc_id").select("doc_id", "content", "meta")
+    store.write_documents(docs.drop("claim_pos"))
 
 
 def article_claims(articles: DataFrame, id_cols: list[str], text_col: str = "text",
@@ -146,6 +151,14 @@ def export_abstracts(claims: DataFrame, store: DataFrame, k: int = TOP_K_EXPORT,
     return corpus, claim_records(claims, corpus)
 
 
+def export_phrases(claims: DataFrame, works: DataFrame, store: EvidenceStore, threshold: float, k: int = TOP_K, gate: bool = True,
+                   scorer=None, claim_scorer=None, **kw):
+    """C5 then C10: the works' claims become the phrase store, the claims' nearest phrases are grouped by title (A2)
+    and exported with the claim records (A3)."""
+    index_claims(works, store, threshold, gate, scorer, claim_scorer, numbered=True)
+    return export_titles(claims, store.read(), k, **kw)
+
+
 def export_titles(claims: DataFrame, store: DataFrame, k: int = TOP_K, **kw):
     """Corpus grouped by title per claim, and claim records."""
     m = find_evidence(claims, store, k, **kw).select("claim_id", "rank", F.col("meta.title").alias("title"),
