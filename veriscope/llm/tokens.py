@@ -133,16 +133,22 @@ def spread_slices(ids: bytes, most: int = 4096, slices: int = 16) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, samples: int, size: int) -> bytes:
     """A zstandard dictionary over serialized ids of at most ``samples`` documents (least hash of
-    doc_id and text first), each counted with at most 4,096 ids in slices spread over it; b"" if there is too little to train on."""
+    doc_id and text first, copies once), each counted with at most 4,096 ids in slices spread over it; b"" if there is too little to train on.
+
+    Hashes below a bound, set from the number of different documents so that about twice ``samples`` pass, are
+    encoded where they lie: no more than that many slices meet in one task, whatever the corpus' size."""
     import zstandard
-    chosen = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(samples)
+    h = F.xxhash64("doc_id", "text")
+    different = docs.agg(F.approx_count_distinct(h)).first()[0]
+    below = min(-2 ** 63 + 2 * samples * 2 ** 64 // max(1, different), 2 ** 63 - 1)
+    chosen = docs.select("text", h.alias("h")).where(F.col("h") <= F.lit(below)).groupBy("h").agg(F.first("text").alias("text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = _encoder(tokenizer), struct.pack("<I", end_id)
         for b in batches:
-            yield pd.DataFrame({"ids": [spread_slices(enc.ids(t) + end) for t in b["text"]]})
+            yield pd.DataFrame({"h": b["h"], "ids": [spread_slices(enc.ids(t) + end) for t in b["text"]]})
 
-    rows = [r["ids"] for r in chosen.select("text").mapInPandas(encode, "ids binary").collect()]
+    rows = [r["ids"] for r in chosen.mapInPandas(encode, "h long, ids binary").orderBy("h").limit(samples).collect()]
     try:
         return zstandard.train_dictionary(size, [bytes(r) for r in rows]).as_bytes()
     except (zstandard.ZstdError, ValueError):
