@@ -122,3 +122,47 @@ def test_autoindex_picks_nlist_and_full_probe_is_exact(spark, out_dir):
     ivf = spark.read.parquet(out_dir + "/auto")
     got = _as_dict(knn.knn_topk(knn.probe_cells(queries, cents, len(cents)), ivf, 5, probes="cells", cell="cell"))
     assert got == _as_dict(knn.knn_topk(queries, store, 5))
+
+
+def test_bounds_in_single_precision_lose_no_row():
+    rng = np.random.default_rng(11)
+    near = rng.normal(size=(1, 16)) + 1e-7 * rng.normal(size=(300, 16))                 # closer than single precision tells
+    d = np.concatenate([rng.normal(size=(3000, 16)), near, 1e6 * rng.normal(size=(50, 16)), np.zeros((5, 16)),
+                        rng.integers(0, 2, size=(500, 16))])
+    d[40, 3] = np.nan
+    q = np.concatenate([d[3000:3020], rng.normal(size=(30, 16)), np.zeros((2, 16)), rng.integers(0, 2, size=(10, 16))])
+    ids = rng.permutation(len(d)).astype(np.int64)
+    for metric in ("cosine", "dot_product"):
+        for decimals in (6, None):
+            top = knn._TopK(q, np.arange(len(q)), 7, metric, decimals=decimals, product_rows=100)
+            for lo in range(0, len(d), 1300):
+                top.add(d[lo:lo + 1300], ids[lo:lo + 1300])
+            raw = np.einsum("ij,kj->ik", q, d)
+            if metric == "cosine":
+                den = np.sqrt((q * q).sum(1)[:, None] * (d * d).sum(1)[None, :])
+                raw = np.where(den > 0, raw / np.where(den > 0, den, 1.0), 0.0)
+            want = raw if decimals is None else knn.round6(raw, decimals)
+            want = np.where(np.isnan(want), -np.inf, want)
+            order = np.lexsort((np.broadcast_to(ids, want.shape), -want), axis=1)[:, :7]
+            assert np.allclose(top.s, np.take_along_axis(want, order, 1), rtol=1e-12, atol=1e-12), (metric, decimals)
+            if decimals is not None:
+                assert (top.d == ids[order]).mean() > 0.99          # a sum's last digit may turn a rounding
+
+
+def test_few_groups_of_a_store_are_searched_by_all_tasks(spark):
+    """A store that fits one group: its queries are split over tasks (before, one task searched all of them)."""
+    rng = np.random.default_rng(12)
+    d, q = rng.normal(size=(400, 4)), rng.normal(size=(5000, 4))
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(d)], "doc_id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "claim_id long, embedding array<double>")
+    cand = knn._blocked_candidates(queries, store, 3, "cosine", "claim_id", "doc_id", "embedding", "embedding", None, None,
+                                   1 << 20, 1 << 20, 1 << 12, 6)
+    assert cand.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).filter(lambda n: n > 0).count() >= 4
+    assert cand.count() == 3 * 5000
+
+
+def test_copies_of_vectors_keep_the_smallest_ids(spark):
+    store = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)] + [(60, [2.0, 1.0])], "doc_id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "claim_id long, embedding array<double>")
+    got = _as_dict(knn.knn_topk(queries, store, 4, method="blocked"))
+    assert got == {i: [(1.0, j) for j in range(4)] for i in range(5)}
