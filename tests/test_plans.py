@@ -56,3 +56,12 @@ def test_dense_index_never_moves_rows_to_one_partition(spark):
     single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     # exactly one single-partition exchange, and it carries per-partition counts only
     assert len(single) == 1 and "HashAggregate(keys=[_pid" in lines[single[0] + 1]
+
+
+def test_inverted_index_is_built_without_python(spark):
+    from veriscope.plans.views import invert_text
+    docs = spark.createDataFrame([(1, "a b a c  b\n a"), (2, None), (3, ""), (4, " é z é ")], "doc_id long, text string")
+    inv = invert_text(docs)
+    assert "EvalPython" not in inv._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.abstract_inverted_index for r in inv.collect()} == {
+        1: {"a": [0, 2, 5], "b": [1, 4], "c": [3]}, 2: None, 3: {"": [0]}, 4: {"é": [0, 2], "z": [1]}}

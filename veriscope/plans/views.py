@@ -9,9 +9,7 @@ claim sources, ``embeddings`` for a vector store.  Every rule here has a mirror
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriscope.constants import DOI_PREFIX, HASH_DIM, WORK_ID_PREFIX
@@ -58,37 +56,39 @@ def works_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce(F.col("authors"), F.lit("")).alias("authors")))
 
 
-def _invert_udf():
-    @F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))
-    def invert(tokens: pd.Series) -> pd.Series:
-        out = []
-        for ws in tokens:
-            if ws is None:
-                out.append(None)
-                continue
-            m: dict[str, list[int]] = {}
-            for i, w in enumerate(ws):
-                m.setdefault(w, []).append(i)
-            out.append(m)
-        return pd.Series(out)
-    return invert
+def _starts(sorted_words: Column) -> Column:
+    """Places in a list of (word, pos) in word order where another word begins, and its end."""
+    n = F.size(sorted_words)
+    first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (sorted_words[i]["word"] != sorted_words[F.greatest(i - 1, F.lit(0))]["word"]))
+    return F.concat(first, F.array(n))
 
 
-def invert_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Inverted index word -> ascending positions of the whitespace tokens of a text.
+def inverted(docs: DataFrame, text: Column, name: str = "abstract_inverted_index") -> DataFrame:
+    """Inverted index of a text: word -> ascending positions of its whitespace tokens; null for a null text.
+
+    Row-local and without Python: words are sorted with their positions, and each run of
+    equal words is one entry.  Memory is that of one row."""
+    words = F.split(collapse_ws(text), " ")
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos"))))
+    at = docs.withColumn("_placed", placed)
+    at = at.withColumn("_starts", F.when(F.col("_placed").isNotNull(), _starts(F.col("_placed"))))
+    run = lambda i: F.slice(F.col("_placed"), F.col("_starts")[i] + 1, F.col("_starts")[i + 1] - F.col("_starts")[i])
+    entries = F.transform(F.sequence(F.lit(0), F.size("_starts") - 2), lambda i: F.struct(
+        F.col("_placed")[F.col("_starts")[i]]["word"], F.transform(run(i), lambda x: x["pos"])))
+    return (at.withColumn(name, F.when(F.col("_starts").isNotNull(), F.map_from_entries(entries)))
+            .drop("_placed", "_starts"))
 
-    Row-local (no shuffle): the JVM splits the text, an Arrow-batched helper
-    builds each row's map."""
-    toks = F.split(collapse_ws(F.col(text_col)), " ")
-    return docs.select(id_col, _invert_udf()(toks).alias("abstract_inverted_index"))
+
+def invert_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Inverted index word -> ascending positions of the whitespace tokens of a text."""
+    return inverted(docs.select(id_col, text_col), F.col(text_col)).select(id_col, "abstract_inverted_index")
 
 
 def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_WORK rows as landed by the works API, derived from documents + conversations."""
     docs = load(spark, sf_dir, "documents")
-    inv = _invert_udf()(F.split(collapse_ws(F.col("text")), " ")).alias("abstract_inverted_index")
     auth = author_lists(load(spark, sf_dir, "conversations")).withColumnRenamed("conv_id", "doc_id")
-    return (docs.select("*", inv).join(auth, "doc_id", "left")
+    return (inverted(docs.join(auth, "doc_id", "left"), F.col("text"))
             .select(*work_columns(docs), "abstract_inverted_index",
                     F.coalesce(F.col("authorships"),
                                F.array().cast("array<struct<author:map<string,string>>>")).alias("authorships")))
