@@ -124,3 +124,24 @@ def test_rejected_pages(spark, out_dir):
         f.write(json.dumps(work) + "\n{broken\n" + json.dumps(work) + "\n")
     assert rejected_pages(spark, f"{out_dir}/lines.json", multiline=False).collect()[0]["n_bad"] == 1
     assert read_checked_pages(spark, f"{out_dir}/lines.json", multiline=False).count() == 2
+
+
+def test_landed_parts_are_not_one_task_each(spark, out_dir):
+    """A part that is a large share of the input is written by as many tasks as its bytes ask for."""
+    from pyspark.sql import functions as F
+    from veriscope.schemas import WORK
+    from veriscope.sources.manifest import BatchTable
+    from veriscope.sources.works import land_works_csv
+    csv = spark.range(4000).select(F.concat(F.lit("W"), "id").alias("id"), F.lit("d").alias("doi"), F.lit("t").alias("title"),
+                                   F.lit(2000).alias("publication_year"), F.sha2(F.col("id").cast("string"), 512).alias("abstract"),
+                                   F.lit("").alias("authors"))
+    table = BatchTable(spark, out_dir + "/landed", f"{WORK.simpleString()[7:-1].replace(':', ' ')}, part int")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        landed = land_works_csv(csv, table, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(landed.inputFiles()) > 2
+    assert landed.select("id").distinct().count() == landed.count() == 4000
+    assert landed.groupBy("part").count().count() == 2

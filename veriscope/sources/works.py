@@ -85,8 +85,10 @@ def land_pages(works: DataFrame, path: str, page: Column, damaged: Column | None
 
 
 def land_works_csv(csv: DataFrame, table: BatchTable, parts: int, name: str = "works", key: str = "id") -> DataFrame:
-    """S3 landed once: rows of a CSV (read in one task a file) as Parquet, clustered by ``part`` of their key."""
-    table.append(name, lambda: csv.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).repartition(parts, "part"))
+    """S3 landed once: rows of a CSV (read in one task a file) as Parquet, clustered by ``part`` of their key.
+
+    A part is as large as its share of the input, so the tasks that write it follow the bytes and not the parts."""
+    table.append(name, lambda: csv.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")).hint("rebalance", "part"))
     return table.read()
 
 
