@@ -75,3 +75,15 @@ def test_given_vectors_read_under_a_third(spark):
     assert rows(tree.search(q, spark, path)) == rows(knn.knn_topk(q, e))
     _, short = tree.shortlist(q, spark, path)
     assert short.count() < q.count() * e.count() / 3
+
+
+def test_slices_bound_what_a_task_holds(spark, monkeypatch):
+    for name in ("VISIT_CELLS", "VISIT_ROWS", "HELD_ROWS"):
+        monkeypatch.setattr(tree, name, 70)
+    rng = np.random.default_rng(7)
+    d, q = frames(spark, rng.normal(size=(300, 5)), rng.normal(size=(40, 5)))
+    for metric in ("cosine", "dot_product"):
+        got, want, path = both(spark, d, q, 5, metric)
+        assert got == want
+    _, short = tree.shortlist(q, spark, path, 5)
+    assert short.count() < q.count() * d.count()

@@ -36,6 +36,8 @@ SLACK = 2e-6
 GROUP_ROWS, QUERY_ROWS = 1 << 15, 1 << 12
 #: Leaves of one part: they are filed and scanned together.
 PART = 64
+#: Cells of queries x leaves bounded at once, rows of one answer, and rows a scan holds before it leaves some out.
+VISIT_CELLS, VISIT_ROWS, HELD_ROWS = 1 << 20, 1 << 14, 1 << 20
 CODE = "did long, leaf int, code binary, scale float, err float"
 
 
@@ -167,7 +169,7 @@ def _bounds(q: np.ndarray, centre: np.ndarray, radius: np.ndarray, metric: str)
 def _scan(asked: DataFrame, codes: DataFrame, leaves, k: int, metric: str) -> DataFrame:
     """(qid, did, low, high) of the rows of the listed leaves that may be among a query's k best.
 
-    ``asked``: (qid, v, floor, part, cells), a row for each query and part of 64 leaves.
+    ``asked``: (qid, v, floor, part, cells), a row for each query and part of 64 leaves, one bit of ``cells`` a leaf.
     Groups are (part, salt, query block): both sides bounded."""
     per = asked.groupBy("part").agg(F.count(F.lit(1)).alias("n_q"))
     ids, _, _, n = leaves.value
@@ -184,21 +186,27 @@ def _scan(asked: DataFrame, codes: DataFrame, leaves, k: int, metric: str) -> Da
                      F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int").alias("block")))
 
     def scan(key, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"qid": pd.Series([], dtype="int64"), "did": pd.Series([], dtype="int64"),
-                               "low": pd.Series([], dtype="float64"), "high": pd.Series([], dtype="float64")})]
+        none = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "did": pd.Series([], dtype="int64"),
+                             "low": pd.Series([], dtype="float64"), "high": pd.Series([], dtype="float64")})
         if docs.empty or asked.empty:
-            return found[0]
+            return none
         ids, centres, _, _ = leaves.value
         q, qid = _points(asked["v"], metric), asked["qid"].to_numpy(np.int64)
         norm, floor = np.linalg.norm(q, axis=1), asked["floor"].to_numpy(np.float64).copy()
-        wants = np.zeros((len(q), PART), bool)
-        for i, cells in enumerate(asked["cells"]):
-            wants[i, np.asarray(cells) % PART] = True
+        cells = asked["cells"].to_numpy(np.int64).view(np.uint64)
+        found, held = [], 0                                       # (query's place, did, low, high)
+
+        def reaching() -> list:
+            """What reaches its query's floor, which rises from leaf to leaf: near k rows a query are held."""
+            qi, did, low, high = (np.concatenate(x) for x in zip(*found))
+            keep = high >= floor[qi] - SLACK
+            return [(qi[keep], did[keep], low[keep], high[keep])]
+
         for leaf, rows in docs.groupby("leaf", sort=False):
             code = np.frombuffer(b"".join(rows["code"]), np.int8).reshape(len(rows), -1)
             x = centres[np.searchsorted(ids, leaf)] + code * (rows["scale"].to_numpy(np.float64)[:, None] / 127)
             err, did = rows["err"].to_numpy(np.float64), rows["did"].to_numpy(np.int64)
-            who = np.flatnonzero(wants[:, leaf % PART])
+            who = np.flatnonzero(cells >> np.uint64(leaf % PART) & np.uint64(1))
             step = max(1, (1 << 21) // len(rows))
             for at in (who[lo:lo + step] for lo in range(0, len(who), step)):
                 mid, off = q[at] @ x.T, norm[at][:, None] * err[None, :]
@@ -206,8 +214,15 @@ def _scan(asked: DataFrame, codes: DataFrame, leaves, k: int, metric: str) -> Da
                 if low.shape[1] >= k:
                     floor[at] = np.maximum(floor[at], np.partition(low, -k, axis=1)[:, -k])
                 qi, di = np.nonzero(high >= floor[at][:, None] - SLACK)
-                found.append(pd.DataFrame({"qid": qid[at[qi]], "did": did[di], "low": low[qi, di], "high": high[qi, di]}))
-        return pd.concat(found, ignore_index=True)
+                found.append((at[qi], did[di], low[qi, di], high[qi, di]))
+                held += len(qi)
+                if held > HELD_ROWS:
+                    found = reaching()
+                    held = len(found[0][0]) // 2                 # room for as many again
+        if not found:
+            return none
+        qi, did, low, high = reaching()[0]
+        return pd.DataFrame({"qid": qid[qi], "did": did, "low": low, "high": high})
 
     keys = ["part", "salt", "block"]
     return docs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(scan, "qid long, did long, low double, high double")
@@ -234,26 +249,35 @@ def shortlist(queries: DataFrame, spark: SparkSession, path: str, k: int = 10, m
     def visit(begun: bool):
         def run(batches):
             ids, centre, radius, n = leaves.value
+            parts = int(ids[-1]) // PART + 1 if len(ids) else 1
             for b in batches:
                 if not len(ids):
                     return
-                high = _bounds(_points(b["v"], metric, centre.shape[1]), centre, radius, metric)
-                order = np.argsort(-high, axis=1, kind="stable")
-                rows, parts, cells, floor = [], [], [], b["floor"].to_numpy(np.float64)
-                for i, o in enumerate(order):
-                    start = max(first, int(np.searchsorted(np.cumsum(n[o]), k) + 1))          # leaves of the first round
-                    reach = ids[np.sort(o[start:][high[i, o[start:]] >= floor[i] - SLACK] if begun else o[:start])]
-                    for group in np.split(reach, np.flatnonzero(np.diff(reach // PART)) + 1):
-                        if len(group):
-                            rows.append(i)
-                            parts.append(int(group[0]) // PART)
-                            cells.append(group.tolist())
-                if rows:
-                    yield pd.DataFrame({"qid": b["qid"].to_numpy()[rows], "v": b["v"].to_numpy()[rows], "floor": floor[rows],
-                                        "part": parts, "cells": cells})
+                step = max(1, VISIT_CELLS // len(ids))                    # queries x leaves of a slice
+                for part in (b.iloc[lo:lo + step] for lo in range(0, len(b), step)):
+                    high = _bounds(_points(part["v"], metric, centre.shape[1]), centre, radius, metric)
+                    order, floor = np.argsort(-high, axis=1, kind="stable"), part["floor"].to_numpy(np.float64)
+                    enough = (np.cumsum(n[order], axis=1) < k).sum(axis=1) + 1
+                    start = np.maximum(first, enough)                     # leaves of the first round
+                    place = np.empty_like(order)
+                    np.put_along_axis(place, order, np.arange(len(ids))[None, :], axis=1)
+                    early = place < start[:, None]
+                    reach = ~early & (high >= floor[:, None] - SLACK) if begun else early
+                    qi, li = np.nonzero(reach)
+                    if not len(qi):
+                        continue
+                    at, bit = qi * parts + ids[li] // PART, np.uint64(1) << (ids[li] % PART).astype(np.uint64)
+                    head = np.flatnonzero(np.diff(at, prepend=-1))         # leaves in order: a run for each query and part
+                    rows = qi[head]
+                    cells = np.bitwise_or.reduceat(bit, head).view(np.int64)
+                    for lo in range(0, len(rows), VISIT_ROWS):
+                        own = rows[lo:lo + VISIT_ROWS]
+                        yield pd.DataFrame({"qid": part["qid"].to_numpy()[own], "v": part["v"].to_numpy()[own], "floor": floor[own],
+                                            "part": (at[head] % parts)[lo:lo + VISIT_ROWS].astype(np.int32),
+                                            "cells": cells[lo:lo + VISIT_ROWS]})
         return run
 
-    shape = f"qid long, v {asked.schema['v'].dataType.simpleString()}, floor double, part int, cells array<int>"
+    shape = f"qid long, v {asked.schema['v'].dataType.simpleString()}, floor double, part int, cells long"
     lowest = F.lit(float("-inf"))
     begin = written(asked.withColumn("floor", lowest).mapInPandas(visit(False), shape), "begin")
     near = written(_scan(begin, codes, leaves, k, metric), "near")
