@@ -873,10 +873,9 @@ def q_stream_ingest_works(spark, sf):
     from veriscope.schemas import RAW_WORK
     from veriscope.operators.filters import to_documents
     from veriscope.streaming.ingest import ingest_pages
-    raw = raw_works(spark, sf)
     landing = scratch_path(spark, "work-pages")
-    raw.write.json(f"{landing}/first")
-    raw.repartition("id").write.json(f"{landing}/again")
+    raw_works(spark, sf).write.json(f"{landing}/first")
+    raw_works(spark, sf, deal="doc_id").write.json(f"{landing}/again")
     store = EvidenceStore(spark, scratch_path(spark, "works-store"), recreate=True)
     ingest_pages(spark, f"{landing}/*", RAW_WORK, store, lambda b: to_documents(flatten_works(b)),
                  scratch_path(spark, "work-pages-ckpt"), max_files_per_trigger=32)

@@ -84,9 +84,12 @@ def invert_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return inverted(docs.select(id_col, text_col), F.col(text_col)).select(id_col, "abstract_inverted_index")
 
 
-def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW_WORK rows as landed by the works API, derived from documents + conversations."""
+def raw_works(spark: SparkSession, sf_dir: str, deal: str | None = None) -> DataFrame:
+    """RAW_WORK rows as landed by the works API, derived from documents + conversations.
+
+    ``deal``: a document column to deal the rows out by, as texts: an inverted index is several times as large."""
     docs = load(spark, sf_dir, "documents")
+    docs = docs.repartition(deal) if deal else docs
     auth = author_lists(load(spark, sf_dir, "conversations")).withColumnRenamed("conv_id", "doc_id")
     return (inverted(docs.join(auth, "doc_id", "left"), F.col("text"))
             .select(*work_columns(docs), "abstract_inverted_index",
