@@ -166,3 +166,13 @@ def test_copies_of_vectors_keep_the_smallest_ids(spark):
     queries = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "claim_id long, embedding array<double>")
     got = _as_dict(knn.knn_topk(queries, store, 4, method="blocked"))
     assert got == {i: [(1.0, j) for j in range(4)] for i in range(5)}
+
+
+def test_training_norms_are_computed_once_a_row(spark):
+    """The norm stays in a projection below the division (before, it was summed again for each component)."""
+    d = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "embedding array<double>").repartition(2)
+    units = knn._units(d, "embedding")
+    plan = units._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.splitlines()[0]
+    assert "transform(" in top and "aggregate(" not in top and "aggregate(" in plan
+    assert sorted(r.v for r in units.collect()) == [[0.0, 0.0], [0.6, 0.8]]

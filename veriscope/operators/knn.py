@@ -400,10 +400,12 @@ def topk_single(store: DataFrame, vector: list[float], k: int = 10, metric: str
 
 # --------------------------------------------------------------------------- IVF
 
-def _unit(col: str):
+def _units(df: DataFrame, col: str) -> DataFrame:
+    """``v``: the vectors at length 1.  The norm is a column of its own: inside the lambda it would be summed for each component."""
     nrm = F.sqrt(F.aggregate(F.col(col), F.lit(0.0).cast("double"),
                              lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(F.col(col), lambda x: F.when(nrm > 0, x.cast("double") / nrm).otherwise(F.lit(0.0)))
+    return df.select(F.col(col).alias("v"), nrm.alias("nrm")).select(
+        F.transform("v", lambda x: F.when(F.col("nrm") > 0, x.cast("double") / F.col("nrm")).otherwise(F.lit(0.0))).alias("v"))
 
 
 def train_ivf(store: DataFrame, nlist: int, vec: str = "embedding", metric: str = "cosine",
@@ -414,9 +416,9 @@ def train_ivf(store: DataFrame, nlist: int, vec: str = "embedding", metric: str
     very large stores); every row is still filed under a cell and searched."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    v = _unit(vec) if metric == "cosine" else F.col(vec)
     src = store.sample(fraction=train_fraction, seed=seed) if train_fraction else store
-    feats = src.select(array_to_vector(v).alias("features"))
+    src = _units(src, vec) if metric == "cosine" else src.select(F.col(vec).alias("v"))
+    feats = src.select(array_to_vector("v").alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
     return np.asarray(model.clusterCenters(), dtype=np.float64)
 
