@@ -176,3 +176,32 @@ def test_training_norms_are_computed_once_a_row(spark):
     top = plan.splitlines()[0]
     assert "transform(" in top and "aggregate(" not in top and "aggregate(" in plan
     assert sorted(r.v for r in units.collect()) == [[0.0, 0.0], [0.6, 0.8]]
+
+
+def test_each_task_searches_one_group(spark):
+    """30 groups fill 30 tasks (before, hashed group numbers met: some tasks took several, others none)."""
+    rng = np.random.default_rng(13)
+    store = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(rng.normal(size=(300, 4)))],
+                                  "doc_id long, embedding array<double>, cell int")
+    queries = spark.createDataFrame([(i, v.tolist(), [0, 1, 2]) for i, v in enumerate(rng.normal(size=(2560, 4)))],
+                                    "claim_id long, embedding array<double>, cells array<int>")
+    cand = knn._blocked_candidates(queries, store, 3, "cosine", "claim_id", "doc_id", "embedding", "embedding", "cells", "cell",
+                                   256, 1 << 20, 1 << 12, 6)
+    rows = cand.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(rows) == 30 and min(rows) > 0 and sum(rows) == 3 * 3 * 2560
+
+
+def test_groups_past_the_most_tasks_are_all_searched(spark, monkeypatch):
+    monkeypatch.setattr(knn, "MAX_TASKS", 4)
+    store, queries, d, q = _frames(spark)
+    want = brute(q, d, np.arange(100, 100 + len(q)), np.arange(len(d)), 7, "cosine")
+    got = _as_dict(knn.knn_topk(queries, store, 7, method="blocked", group_budget_bytes=20 * 128))
+    assert got == want
+
+
+def test_few_finds_what_flatnonzero_finds():
+    rng = np.random.default_rng(14)
+    for shape in ((3, 5), (16, 64), (7, 9), (1, 3), (0, 4)):
+        for share in (0.0, 0.02, 1.0):
+            cells = rng.random(shape) < share
+            assert knn._few(cells).tolist() == np.flatnonzero(cells).tolist()

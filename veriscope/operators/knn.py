@@ -116,6 +116,14 @@ def _first_copies(m: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.sort(order[nth < k])
 
 
+def _few(cells: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of booleans that are nearly all false: looked at eight at a time first."""
+    flat = np.ascontiguousarray(cells).ravel()
+    whole = len(flat) // 8 * 8
+    at = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([at[flat[at]], whole + np.flatnonzero(flat[whole:])])
+
+
 #: Cells of one product, rows that are scored in full before bounds hold, and rows between two merges.
 PRODUCT_CELLS, DENSE_ROWS, MERGE_ROWS = 1 << 20, 512, 1 << 13
 
@@ -204,7 +212,7 @@ class _TopK:
             left, bound = self.unit[rows[a:a + step]], low[a:a + step, None]
             for b in range(0, len(docs), self.width):
                 right = unit[b:b + self.width]
-                hit = np.flatnonzero(left @ right.T >= bound)
+                hit = _few(left @ right.T >= bound)
                 if len(hit):
                     qi.append(rows[a + hit // len(right)])
                     di.append(b + hit % len(right))
@@ -308,7 +316,7 @@ def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: st
         salts, blocks = -(-r["n_docs"] // group_rows), -(-r["n_queries"] // block_rows)
         plan.append((r["cell"], salts, blocks, first))
         first += salts * blocks
-    stats = store.sparkSession.createDataFrame(plan, "cell int, salts int, qblocks int, first long")
+    stats = store.sparkSession.createDataFrame(plan, "cell int, salts int, qblocks int, first int")
     number = (F.col("first") + F.col("salt") * F.col("qblocks") + F.col("qblock")).alias("part")
     s_g = (s.join(F.broadcast(stats), "cell")
            .withColumn("salt", F.pmod(F.xxhash64("did"), F.col("salts")).cast("int"))
@@ -333,9 +341,9 @@ def _blocked_candidates(queries: DataFrame, store: DataFrame, k: int, metric: st
         top.q, top.qids, top.s, top.d = qm, qids, top.s[of], top.d[of]
         return top.frame()
 
-    # As many tasks as groups: the sizes are known, so none are joined into one task by their bytes.
+    # As many tasks as groups, one each: placed by number, for hashed numbers would meet in some tasks and miss others.
     n = max(1, min(first, MAX_TASKS))
-    return (s_g.repartition(n, "part").groupBy("part").cogroup(q_g.repartition(n, "part").groupBy("part"))
+    return (s_g.repartitionById(n, "part").groupBy("part").cogroup(q_g.repartitionById(n, "part").groupBy("part"))
             .applyInPandas(group_topk, CANDIDATE_SCHEMA))
 
 
