@@ -205,3 +205,31 @@ def test_few_finds_what_flatnonzero_finds():
         for share in (0.0, 0.02, 1.0):
             cells = rng.random(shape) < share
             assert knn._few(cells).tolist() == np.flatnonzero(cells).tolist()
+
+
+def test_vectors_are_shuffled_once_whatever_the_blocks(spark, monkeypatch):
+    """30 groups of a store meet 8 blocks of queries (before, each vector was shuffled for every block or group of the other side)."""
+    rng = np.random.default_rng(15)
+    d, q = rng.integers(0, 4, size=(600, 4)).astype(float), rng.integers(0, 4, size=(400, 4)).astype(float)
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(d)], "doc_id long, embedding array<float>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "claim_id long, embedding array<double>")
+    moved, deal = [], type(store).repartitionById
+    monkeypatch.setattr(type(store), "repartitionById", lambda df, n, by: (moved.append(df.count()), deal(df, n, by))[1])
+    cand = knn._blocked_candidates(queries, store, 3, "cosine", "claim_id", "doc_id", "embedding", "embedding", None, None, 50, 20, 7, 6)
+    assert cand.count() <= 3 * 400 * knn.MOST_SLICES                 # before: 3 rows a query from each of 30 groups
+    assert sum(moved) <= 2 * (600 + 400)
+    want = brute(q, d, np.arange(400), np.arange(600), 3, "cosine")
+    best = knn.final_topk(cand, 3).withColumnsRenamed({"qid": "claim_id", "did": "doc_id"})
+    assert _as_dict(best) == want
+
+
+def test_paired_search_keeps_null_ids_copies_and_empty_sides(spark):
+    shape = "doc_id long, embedding array<double>"
+    store = spark.createDataFrame([(None, [1.0, 0.0]), (None, [0.0, 1.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (9, [0.0, 0.0])], shape)
+    queries = store.withColumnRenamed("doc_id", "claim_id").where("claim_id > 0")
+    key = lambda df: sorted((r.claim_id, r["rank"], r.doc_id, r.score) for r in df.collect())
+    for budget in (64 << 20, 1):
+        got = key(knn.knn_topk(queries, store, 3, method="blocked", group_budget_bytes=budget))
+        assert got == key(knn.knn_topk(queries, store, 3, method="broadcast")) and len(got) == 2 * 3
+    for left, right in ((queries, store.limit(0)), (queries.limit(0), store)):
+        assert knn.knn_topk(left, right, 3, method="blocked", dim=2).count() == 0
